@@ -307,7 +307,7 @@ def fill_time_weighted(spark, d):
 
 @query(_filled(hermite_sql))
 def fill_spline(spark, d):
-    return rounded(ordered.fill(holes(spark, d), ordered.hermite))
+    return rounded(ordered.fill(holes(spark, d), ordered.hermite, detail=True))
 
 
 def _win(c):
@@ -349,7 +349,7 @@ def rolling_features(spark, d):
 @query(f"""WITH {HOLES}, {near_sql('holes')}, f AS (SELECT *, {linear_sql('temperature', both=True)} AS t FROM near)
 SELECT {K}, time, {rnd(f'avg(t) OVER (PARTITION BY {K} ORDER BY rn ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)')} AS temperature FROM f""")
 def centred_mean(spark, d):
-    near = ordered.neighbours(holes(spark, d)).withColumn("temperature", ordered.linear("temperature", both=True))
+    near = ordered.neighbours(holes(spark, d), ["temperature"], detail=False).withColumn("temperature", ordered.linear("temperature", both=True))
     out = ordered.smooth(near, "temperature", ["zone", "device_id", "house"], "_rn")
     return rounded(out.select("zone", "device_id", "house", "time", "temperature"))
 
@@ -360,5 +360,5 @@ g AS (SELECT {K}, rn, sum(new) OVER (PARTITION BY {K} ORDER BY rn) AS g FROM s),
 n AS (SELECT {K}, g, count(*) AS c FROM g GROUP BY {K}, g)
 SELECT {K}, max(c) AS longest, CAST(sum(c) AS BIGINT) AS "rows", {rnd('max(c) / sum(c)')} AS share FROM n GROUP BY {K}""")
 def constant_run(spark, d):
-    near = ordered.neighbours(holes(spark, d)).withColumn("temperature", ordered.linear("temperature", both=True))
+    near = ordered.neighbours(holes(spark, d), ["temperature"], detail=False).withColumn("temperature", ordered.linear("temperature", both=True))
     return rounded(gaps.longest_constant_run(near, "temperature", ["zone", "device_id", "house"], "_rn", digits=0, block=64))

@@ -12,8 +12,8 @@ def lookup(small: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
     which Catalyst broadcasts on its exact size; a larger one is returned as it was and joins by
     shuffle, where adaptive execution splits skewed keys.
     """
-    fetched = small.limit(rows + 1).collect()
-    if len(fetched) > rows:
+    fetched = small.limit(rows + 1).toArrow()
+    if fetched.num_rows > rows:
         return small
     return small.sparkSession.createDataFrame(fetched, small.schema)
 
@@ -42,45 +42,38 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = 200_000) -> Dat
     ])).alias("m")).select(*by, "m.measure", "m.v").filter("v IS NOT NULL")
 
     edges = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    sketch = long.groupBy(*group).agg(
+    sketch = lookup(long.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
-        F.percentile_approx("v", [float(e) for e in edges], accuracy).alias("edge"))
-    wanted = sketch.select(*group, "n", F.explode(F.array(*[
+        F.percentile_approx("v", [float(e) for e in edges], accuracy).alias("edge")))
+    brackets = sketch.withColumn("brackets", F.array(*[
         F.struct(
             F.lit(float(p)).alias("prob"),
-            (F.lit(float(p)) * (F.col("n") - 1)).alias("position"),
             F.when(F.col("n") <= small, F.col("low")).otherwise(F.col("edge")[i]).alias("lo"),
             F.when(F.col("n") <= small, F.col("high")).otherwise(F.col("edge")[len(probs) + i]).alias("hi"),
         ) for i, p in enumerate(probs)
-    ])).alias("w")).select(*group, "n", "w.*")
-    # Looked up as one array per group, so a row meets its group once and not once per probability.
-    packed = wanted.groupBy(*group).agg(F.collect_list(F.struct("prob", "lo", "hi")).alias("brackets"))
+    ])).select(*group, "n", "brackets")
 
     counted = (
-        attach_on(long, packed, group)
-        .select(*group, "v", F.inline("brackets"))
+        long.join(brackets, group)
+        .select(*group, "n", "v", F.inline("brackets"))
         .filter("v <= hi")
-        .groupBy(*group, "prob", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("value"))
+        .groupBy(*group, "n", "prob", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("value"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    order = Window.partitionBy(*group, "prob").orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("c").over(order)).filter("value IS NOT NULL")
+    order = Window.partitionBy(*group, "n", "prob").orderBy(F.col("value").asc_nulls_first())
+    position = F.col("prob") * (F.col("n") - 1)
+    ranked = counted.withColumn("upto", F.sum("c").over(order)).filter("value IS NOT NULL").withColumn("position", position)
 
     def at(rank):
         return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("value")))
 
-    lower, upper = F.floor("position"), F.ceil("position")
-    found = attach_on(ranked, wanted.select(*group, "prob", "n", "position"), [*group, "prob"]).groupBy(
-        *group, "prob", "n", "position").agg(at(lower).alias("v0"), at(upper).alias("v1"))
+    found = ranked.groupBy(*group, "prob", "n", "position").agg(
+        at(F.floor("position")).alias("v0"), at(F.ceil("position")).alias("v1"))
     value = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("position") - F.floor("position"))
     return found.select(*group, "prob", "n", F.when(F.col("v0").isNotNull() & F.col("v1").isNotNull(), value)
                         .otherwise(F.raise_error(F.lit("quantile outside its bracket"))).alias("value"))
 
 
-def attach_on(df: DataFrame, small: DataFrame, on) -> DataFrame:
-    return df.join(small, list(on))
-
-
 def quantile_columns(df: DataFrame, cols, probs: dict, by=(), accuracy: int = 200_000) -> DataFrame:
     """Exact quantiles as columns ``{measure}_{name}``; ``probs`` maps names to probabilities."""
     long = quantiles(df, cols, list(probs.values()), by, accuracy)

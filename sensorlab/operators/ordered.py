@@ -23,13 +23,15 @@ def with_chunk(df: DataFrame, time: str = TIME, chunk: str = CHUNK) -> DataFrame
     return df.withColumn("_chunk", floor_div(micros(time), span_micros(chunk)))
 
 
-def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, order=None) -> DataFrame:
+def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, order=None,
+               detail: bool = True) -> DataFrame:
     """For every row its position in the series and the valid values around it, per column.
 
     Adds ``_rn``, ``_first`` and ``_last`` (first and last time of the series, in microseconds) and, per
     column c, ``_c_p`` (nearest valid row at or before) and ``_c_n`` (at or after): structs of
     ``ts, rn, v``, the next valid row outward ``ts2, v2`` and ``edge``, the time of the series row
-    adjoining it on the side of the gap. Null is missing.
+    adjoining it on the side of the gap. Without ``detail`` the structs hold ``ts, rn, v`` only.
+    Null is missing.
     """
     keys, cols = list(keys), list(cols)
     order = list(order or cols)
@@ -40,9 +42,9 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     down = Window.partitionBy(*group).orderBy(F.col("_ts").desc(), *[F.col(c).desc() for c in order])
 
     def point(c, after):
+        more = [F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col(after).alias("edge")]
         return F.when(F.col(c).isNotNull(), F.struct(
-            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"),
-            F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col(after).alias("edge")))
+            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else [])))
 
     def bare(c):
         return F.when(F.col(c).isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v")))
@@ -52,28 +54,29 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     whole_up = up.rowsBetween(Window.unboundedPreceding, 0)
     whole_down = down.rowsBetween(Window.unboundedPreceding, 0)
 
-    local = base.withColumns({
-        "_rn": F.row_number().over(up).cast("bigint"),
-        "_after": F.lead("_ts").over(up),
-        **{f"_{c}_2": F.last(bare(c), True).over(strict_up) for c in cols},
-    })
+    # All upward windows first, then all downward ones: one sort for each.
+    local = base.withColumn("_rn", F.row_number().over(up).cast("bigint"))
+    if detail:
+        local = local.withColumns({
+            "_after": F.lead("_ts").over(up),
+            "_before": F.lag("_ts").over(up),
+            **{f"_{c}_2": F.last(bare(c), True).over(strict_up) for c in cols},
+        })
     local = local.withColumns({f"_{c}_p": F.last(point(c, "_after"), True).over(whole_up) for c in cols})
-    local = local.drop("_after").withColumns({
-        "_before": F.lag("_ts").over(up),
-        **{f"_{c}_2": F.last(bare(c), True).over(strict_down) for c in cols},
-    })
+    if detail:
+        local = local.withColumns({f"_{c}_2": F.last(bare(c), True).over(strict_down) for c in cols})
     local = local.withColumns({f"_{c}_n": F.last(point(c, "_before"), True).over(whole_down) for c in cols})
-    local = local.drop("_before", *[f"_{c}_2" for c in cols])
+    local = local.drop("_before", "_after", *[f"_{c}_2" for c in cols])
 
-    carry = _carry(local, cols, keys, group)
+    carry = _carry(local, cols, keys, group, detail)
     joined = local.join(carry, group, "left").withColumn("_rn", F.col("_rn") + F.col("_offset"))
     return joined.withColumns({
-        **{f"_{c}_p": _merge(c, "p") for c in cols},
-        **{f"_{c}_n": _merge(c, "n") for c in cols},
+        **{f"_{c}_p": _merge(c, "p", detail) for c in cols},
+        **{f"_{c}_n": _merge(c, "n", detail) for c in cols},
     }).drop("_chunk", "_offset", *[f"_{c}_{s}" for c in cols for s in ("cp", "cn")])
 
 
-def _carry(local: DataFrame, cols, keys, group) -> DataFrame:
+def _carry(local: DataFrame, cols, keys, group, detail: bool) -> DataFrame:
     """One row per chunk: rows before it and the valid rows next to it on either side."""
     summary = local.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to"),
@@ -92,33 +95,35 @@ def _carry(local: DataFrame, cols, keys, group) -> DataFrame:
         "_first": F.min("_from").over(series),
         "_last": F.max("_to").over(series),
     })
-    for c in cols:
-        for side, strict, edge in (("l", before_up, "_next_from"), ("f", before_down, "_prev_to")):
-            s, outer = f"_{c}_{side}", f"_{c}_{side}o"
-            out = out.withColumn(s, F.col(s).withField("rn", F.col(f"{s}.rn") + F.col("_offset")))
-            out = out.withColumn(outer, F.last(s, True).over(strict))
-            full = F.when(F.col(s).isNotNull(), F.struct(
-                F.col(f"{s}.ts").alias("ts"), F.col(f"{s}.rn").alias("rn"), F.col(f"{s}.v").alias("v"),
-                F.coalesce(f"{s}.ts2", f"{outer}.ts").alias("ts2"),
-                F.when(F.col(f"{s}.ts2").isNotNull(), F.col(f"{s}.v2")).otherwise(F.col(f"{outer}.v")).alias("v2"),
-                F.coalesce(f"{s}.edge", edge).alias("edge")))
-            out = out.withColumn(s, full)
-        out = out.withColumns({
-            f"_{c}_cp": F.last(f"_{c}_l", True).over(before_up),
-            f"_{c}_cn": F.last(f"_{c}_f", True).over(before_down),
-        })
+    for side, strict, edge, carried in (("l", before_up, "_next_from", "cp"), ("f", before_down, "_prev_to", "cn")):
+        def full(c):
+            near, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_far")
+            more = [
+                F.coalesce(near["ts2"], far["ts"]).alias("ts2"),
+                F.when(near["ts2"].isNotNull(), near["v2"]).otherwise(far["v"]).alias("v2"),
+                F.coalesce(near["edge"], F.col(edge)).alias("edge"),
+            ] if detail else []
+            return F.when(near.isNotNull(), F.struct(
+                near["ts"].alias("ts"), (near["rn"] + F.col("_offset")).alias("rn"), near["v"].alias("v"), *more))
+
+        if detail:
+            out = out.withColumns({f"_{c}_far": F.last(f"_{c}_{side}", True).over(strict) for c in cols})
+        out = out.withColumns({f"_{c}_{side}": full(c) for c in cols})
+        out = out.withColumns({f"_{c}_{carried}": F.last(f"_{c}_{side}", True).over(strict) for c in cols})
     return out.select(*group, "_offset", "_first", "_last", *[f"_{c}_{s}" for c in cols for s in ("cp", "cn")])
 
 
-def _merge(c: str, side: str) -> Column:
+def _merge(c: str, side: str, detail: bool) -> Column:
     """The chunk's own neighbour completed from the carried one, or the carried one."""
     own, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_c{side}")
-    lacks = own["ts2"].isNull()
-    return F.when(own.isNotNull(), F.struct(
-        own["ts"].alias("ts"), (own["rn"] + F.col("_offset")).alias("rn"), own["v"].alias("v"),
+    lacks = own["ts2"].isNull() if detail else None
+    more = [
         F.when(lacks, far["ts"]).otherwise(own["ts2"]).alias("ts2"),
         F.when(lacks, far["v"]).otherwise(own["v2"]).alias("v2"),
-        own["edge"].alias("edge"))).otherwise(far)
+        own["edge"].alias("edge"),
+    ] if detail else []
+    return F.when(own.isNotNull(), F.struct(
+        own["ts"].alias("ts"), (own["rn"] + F.col("_offset")).alias("rn"), own["v"].alias("v"), *more)).otherwise(far)
 
 
 def drop_neighbours(df: DataFrame, cols=MEASURES) -> DataFrame:
@@ -181,9 +186,9 @@ def gap_end(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.when(F.col(f"_{c}_n").isNull(), F.col("_last")).otherwise(F.col(f"_{c}_n.edge")))
 
 
-def fill(df: DataFrame, how, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK) -> DataFrame:
-    """Replace each column by ``how(column)`` evaluated over its neighbours."""
-    near = neighbours(df, cols, keys, time, chunk)
+def fill(df: DataFrame, how, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, detail: bool = False) -> DataFrame:
+    """Replace each column by ``how(column)`` evaluated over its neighbours (``hermite`` needs ``detail``)."""
+    near = neighbours(df, cols, keys, time, chunk, detail=detail)
     return drop_neighbours(near.withColumns({c: how(c) for c in cols}), cols).select(*df.columns)
 
 
@@ -193,7 +198,7 @@ def fill_chain(df: DataFrame, cols, keys=KEYS, time: str = TIME, chunk: str = CH
     from sensorlab.functions.groups import quantile_columns, attach
 
     cols = list(cols)
-    near = neighbours(df, cols, keys, time, chunk)
+    near = neighbours(df, cols, keys, time, chunk, detail=False)
     first = (lambda c: linear(c, both=True)) if interpolate else locf
     near = near.withColumns({c: F.coalesce(first(c), locf(c), nocb(c)) for c in cols})
     # Only a series without any valid value is left; the mean and median of such a series are
