@@ -326,7 +326,7 @@ def fill_windowed(spark, d):
 
 
 def _chain(c):
-    return f"coalesce({linear_sql(c, both=True)}, (SELECT avg({c}) FROM clean), 0)"
+    return f"coalesce({linear_sql(c, both=True)}, 0)"
 
 
 @query(f"{_CLEAN_NEAR} SELECT {K}, time, {rnd(_chain('temperature'))} AS temperature, {rnd(_chain('humidity'))} AS humidity FROM near")

@@ -41,35 +41,34 @@ def fill_spline(df: DataFrame, cols=MEASURES, keys=KEYS, chunk: str = CHUNK) ->
     return ordered.fill(df, hermite, cols, keys, chunk=chunk, detail=True)
 
 
+def tiered(c: str, short: str = "15 minutes", medium: str = "2 days", limit: int = 15):
+    """Straight line for short gaps, cubic for medium ones, by the time from first to last missing row."""
+    duration = gap_end(c) - gap_start(c)
+    return (
+        F.when(F.col(c).isNotNull(), F.col(c))
+        .when(duration <= span_micros(short), linear(c, limit=limit))
+        .when(duration <= span_micros(medium), hermite(c))
+    )
+
+
 def fill_tiered(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, short: str = "15 minutes", medium: str = "2 days",
                 limit: int = 15, long_gap: str = None, env=None, chunk: str = CHUNK) -> DataFrame:
-    """Straight line for short gaps, cubic for medium ones; longer ones stay missing.
+    """Fill gaps by their duration; those longer than ``medium`` stay missing by default.
 
-    A gap lasts from its first to its last missing row. ``limit`` bounds the rows a line fills, so a
-    run one row longer than the limit keeps its last row missing although its duration is short.
-    ``long_gap`` is None, "pattern" or "seasonal".
+    ``limit`` bounds the rows a line fills, so a run one row longer than the limit keeps its last
+    row missing although its duration is short. ``long_gap`` "pattern" or "seasonal" fills the long
+    gaps too, from the given data and not from the shorter gaps filled here.
     """
     near = neighbours(df, cols, keys, time, chunk)
+    out = near.withColumns({c: tiered(c, short, medium, limit) for c in cols})
+    if long_gap is not None:
+        from sensorlab.operators import patterns
 
-    def value(c):
-        duration = gap_end(c) - gap_start(c)
-        return (
-            F.when(F.col(c).isNotNull(), F.col(c))
-            .when(duration <= span_micros(short), linear(c, limit=limit))
-            .when(duration <= span_micros(medium), hermite(c))
-        )
-
-    out = drop_neighbours(near.withColumns({c: value(c) for c in cols}), cols).select(*df.columns)
-    if long_gap is None:
-        return out
-    from sensorlab.operators import patterns
-
-    # Long gaps are filled from the given data, not from the shorter gaps filled above.
-    for c in cols:
-        extra = patterns.fill_long_gaps(df, c, long_gap, longer_than=medium, keys=keys, time=time, env=env, chunk=chunk)
-        out = out.join(extra.select(*keys, time, F.col(c).alias("_long")), [*keys, time], "left").withColumn(
-            c, F.coalesce(c, "_long")).drop("_long")
-    return out
+        for c in cols:
+            values = patterns.long_gap_values(df, c, long_gap, medium, keys, time, env or (), chunk=chunk)
+            out = out.join(values.withColumnRenamed("value", "_long"), [*keys, "_rn"], "left").withColumn(
+                c, F.coalesce(c, "_long")).drop("_long")
+    return drop_neighbours(out, cols).select(*df.columns)
 
 
 def fill_knn_measure(df: DataFrame, cols=MEASURES, k: int = 60, by=()) -> DataFrame:
@@ -108,10 +107,26 @@ def impute(df: DataFrame, method: str, cols=MEASURES, **options) -> DataFrame:
     return METHODS[method](df, cols, **options)
 
 
-def impute_all(df: DataFrame, methods, cols=MEASURES, options: dict = None) -> DataFrame:
+# Methods that are expressions over neighbours(): several of them share one pass over the series.
+EXPRESSIONS = {"locf": ordered.locf, "nocb": ordered.nocb, "linear": linear, "spline": hermite, "custom": tiered}
+
+
+def impute_all(df: DataFrame, methods, cols=MEASURES, options: dict = None, keys=KEYS, chunk: str = CHUNK) -> DataFrame:
     """The results of several methods, labelled in the column ``method``."""
-    out = None
-    for name in methods:
-        part = impute(df, name, cols, **(options or {}).get(name, {})).withColumn("method", F.lit(name))
-        out = part if out is None else out.unionByName(part)
+    options, cols = options or {}, list(cols)
+    shared = [m for m in methods if m in EXPRESSIONS and not options.get(m, {}).get("long_gap")]
+    frames = []
+    if shared:
+        near = neighbours(df, cols, keys, chunk=chunk)
+        kept = [c for c in df.columns if c not in cols]
+        frames.append(near.select(*kept, F.inline(F.array(*[
+            F.struct(F.lit(m).alias("method"), *[EXPRESSIONS[m](c, **options.get(m, {})).alias(c) for c in cols])
+            for m in shared
+        ]))).select(*df.columns, "method"))
+    for m in methods:
+        if m not in shared:
+            frames.append(impute(df, m, cols, **options.get(m, {})).withColumn("method", F.lit(m)))
+    out = frames[0]
+    for part in frames[1:]:
+        out = out.unionByName(part)
     return out

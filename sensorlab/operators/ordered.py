@@ -32,98 +32,95 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     ``ts, rn, v``, the next valid row outward ``ts2, v2`` and ``edge``, the time of the series row
     adjoining it on the side of the gap. Without ``detail`` the structs hold ``ts, rn, v`` only.
     Null is missing.
+
+    A first pass finds the outermost valid rows of each chunk, one row per chunk. The second pass
+    windows over the chunks again with two extra rows, one at each end, that stand for everything
+    before and after the chunk.
     """
     keys, cols = list(keys), list(cols)
     order = list(order or cols)
-    ts = micros(time)
-    base = with_chunk(df, time, chunk).withColumn("_ts", ts)
     group = [*keys, "_chunk"]
-    up = Window.partitionBy(*group).orderBy("_ts", *[F.col(c).asc() for c in order])
-    down = Window.partitionBy(*group).orderBy(F.col("_ts").desc(), *[F.col(c).desc() for c in order])
-
-    def point(c, after):
-        more = [F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col(after).alias("edge")]
-        return F.when(F.col(c).isNotNull(), F.struct(
-            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else [])))
+    base = with_chunk(df, time, chunk).withColumns({"_ts": micros(time), "_side": F.lit(0)})
+    ends = _chunk_ends(_near_in_chunk(base, cols, group, order, detail), cols, keys, group, detail)
+    heads = ends.select(
+        *group, F.lit(-1).alias("_side"), F.col("_prev_to").alias("_ts"), "_offset", "_first", "_last",
+        *[F.col(f"_{c}_before").alias(f"_{c}_end") for c in cols])
+    tails = ends.select(
+        *group, F.lit(1).alias("_side"), F.col("_next_from").alias("_ts"),
+        *[F.col(f"_{c}_after").alias(f"_{c}_end") for c in cols])
+    rows = base.unionByName(heads, True).unionByName(tails, True)
+    up = Window.partitionBy(*group).orderBy("_side", "_ts", *order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({n: F.max(n).over(up) for n in ("_offset", "_first", "_last")})
+    near = _near_in_chunk(rows, cols, group, order, detail, carried=True).filter("_side = 0")
+    return near.drop("_chunk", "_side", "_offset", *[f"_{c}_end" for c in cols])
+
+
+def _near_in_chunk(rows: DataFrame, cols, group, order, detail: bool, carried: bool = False) -> DataFrame:
+    """Position and nearest valid rows within ``(keys, _chunk)``, all upward windows before all downward ones."""
+    up = Window.partitionBy(*group).orderBy("_side", "_ts", *order)
+    down = Window.partitionBy(*group).orderBy(F.desc("_side"), F.desc("_ts"), *[F.desc(c) for c in order])
+    start = Window.unboundedPreceding
+    number = F.sum(F.when(F.col("_side") == 0, 1).otherwise(0)).over(up.rowsBetween(start, 0))
+    out = rows.withColumn("_rn", number + F.col("_offset") if carried else number)
+
+    def known(c, plain, far):
+        return F.coalesce(plain, far) if carried else plain
 
     def bare(c):
-        return F.when(F.col(c).isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v")))
+        own = F.when(F.col(c).isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v")))
+        return known(c, own, F.when(F.col(f"_{c}_end").isNotNull(), F.struct(f"_{c}_end.ts", f"_{c}_end.v")) if carried else None)
 
-    strict_up = up.rowsBetween(Window.unboundedPreceding, -1)
-    strict_down = down.rowsBetween(Window.unboundedPreceding, -1)
-    whole_up = up.rowsBetween(Window.unboundedPreceding, 0)
-    whole_down = down.rowsBetween(Window.unboundedPreceding, 0)
+    def point(c, edge):
+        more = [F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col(edge).alias("edge")]
+        own = F.when(F.col(c).isNotNull(), F.struct(
+            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else [])))
+        return known(c, own, F.col(f"_{c}_end") if carried else None)
 
-    # All upward windows first, then all downward ones: one sort for each.
-    local = base.withColumn("_rn", F.row_number().over(up).cast("bigint"))
     if detail:
-        local = local.withColumns({
-            "_after": F.lead("_ts").over(up),
-            "_before": F.lag("_ts").over(up),
-            **{f"_{c}_2": F.last(bare(c), True).over(strict_up) for c in cols},
-        })
-    local = local.withColumns({f"_{c}_p": F.last(point(c, "_after"), True).over(whole_up) for c in cols})
+        out = out.withColumns({
+            "_above": F.lead("_ts").over(up), "_below": F.lag("_ts").over(up),
+            **{f"_{c}_2": F.last(bare(c), True).over(up.rowsBetween(start, -1)) for c in cols}})
+    out = out.withColumns({f"_{c}_p": F.last(point(c, "_above"), True).over(up.rowsBetween(start, 0)) for c in cols})
     if detail:
-        local = local.withColumns({f"_{c}_2": F.last(bare(c), True).over(strict_down) for c in cols})
-    local = local.withColumns({f"_{c}_n": F.last(point(c, "_before"), True).over(whole_down) for c in cols})
-    local = local.drop("_before", "_after", *[f"_{c}_2" for c in cols])
+        out = out.withColumns({f"_{c}_2": F.last(bare(c), True).over(down.rowsBetween(start, -1)) for c in cols})
+    out = out.withColumns({f"_{c}_n": F.last(point(c, "_below"), True).over(down.rowsBetween(start, 0)) for c in cols})
+    return out.drop("_above", "_below", *[f"_{c}_2" for c in cols])
 
-    carry = _carry(local, cols, keys, group, detail)
-    joined = local.join(carry, group, "left").withColumn("_rn", F.col("_rn") + F.col("_offset"))
-    return joined.withColumns({
-        **{f"_{c}_p": _merge(c, "p", detail) for c in cols},
-        **{f"_{c}_n": _merge(c, "n", detail) for c in cols},
-    }).drop("_chunk", "_offset", *[f"_{c}_{s}" for c in cols for s in ("cp", "cn")])
 
-
-def _carry(local: DataFrame, cols, keys, group, detail: bool) -> DataFrame:
-    """One row per chunk: rows before it and the valid rows next to it on either side."""
-    summary = local.groupBy(*group).agg(
+def _chunk_ends(local: DataFrame, cols, keys, group, detail: bool) -> DataFrame:
+    """One row per chunk: rows before it, its adjoining times, and the valid rows nearest to it outside."""
+    ends = local.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to"),
-        *[F.max_by(f"_{c}_p", "_rn").alias(f"_{c}_l") for c in cols],
-        *[F.min_by(f"_{c}_n", "_rn").alias(f"_{c}_f") for c in cols])
+        *[F.max_by(f"_{c}_p", "_rn").alias(f"_{c}_last") for c in cols],
+        *[F.min_by(f"_{c}_n", "_rn").alias(f"_{c}_head") for c in cols])
     up = Window.partitionBy(*keys).orderBy("_chunk")
     down = Window.partitionBy(*keys).orderBy(F.desc("_chunk"))
-    before_up = up.rowsBetween(Window.unboundedPreceding, -1)
-    before_down = down.rowsBetween(Window.unboundedPreceding, -1)
     series = Window.partitionBy(*keys)
-
-    out = summary.withColumns({
-        "_offset": F.coalesce(F.sum("_rows").over(before_up), F.lit(0)),
+    out = ends.withColumns({
+        "_offset": F.coalesce(F.sum("_rows").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_next_from": F.lead("_from").over(up),
         "_prev_to": F.lag("_to").over(up),
         "_first": F.min("_from").over(series),
         "_last": F.max("_to").over(series),
     })
-    for side, strict, edge, carried in (("l", before_up, "_next_from", "cp"), ("f", before_down, "_prev_to", "cn")):
+    for side, outward, edge, name in (("last", up, "_next_from", "before"), ("head", down, "_prev_to", "after")):
+        strict = outward.rowsBetween(Window.unboundedPreceding, -1)
+
         def full(c):
-            near, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_far")
+            own, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_far")
             more = [
-                F.coalesce(near["ts2"], far["ts"]).alias("ts2"),
-                F.when(near["ts2"].isNotNull(), near["v2"]).otherwise(far["v"]).alias("v2"),
-                F.coalesce(near["edge"], F.col(edge)).alias("edge"),
+                F.coalesce(own["ts2"], far["ts"]).alias("ts2"),
+                F.when(own["ts2"].isNotNull(), own["v2"]).otherwise(far["v"]).alias("v2"),
+                F.coalesce(own["edge"], F.col(edge)).alias("edge"),
             ] if detail else []
-            return F.when(near.isNotNull(), F.struct(
-                near["ts"].alias("ts"), (near["rn"] + F.col("_offset")).alias("rn"), near["v"].alias("v"), *more))
+            return F.when(own.isNotNull(), F.struct(
+                own["ts"].alias("ts"), (own["rn"] + F.col("_offset")).alias("rn"), own["v"].alias("v"), *more))
 
         if detail:
             out = out.withColumns({f"_{c}_far": F.last(f"_{c}_{side}", True).over(strict) for c in cols})
         out = out.withColumns({f"_{c}_{side}": full(c) for c in cols})
-        out = out.withColumns({f"_{c}_{carried}": F.last(f"_{c}_{side}", True).over(strict) for c in cols})
-    return out.select(*group, "_offset", "_first", "_last", *[f"_{c}_{s}" for c in cols for s in ("cp", "cn")])
-
-
-def _merge(c: str, side: str, detail: bool) -> Column:
-    """The chunk's own neighbour completed from the carried one, or the carried one."""
-    own, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_c{side}")
-    lacks = own["ts2"].isNull() if detail else None
-    more = [
-        F.when(lacks, far["ts"]).otherwise(own["ts2"]).alias("ts2"),
-        F.when(lacks, far["v"]).otherwise(own["v2"]).alias("v2"),
-        own["edge"].alias("edge"),
-    ] if detail else []
-    return F.when(own.isNotNull(), F.struct(
-        own["ts"].alias("ts"), (own["rn"] + F.col("_offset")).alias("rn"), own["v"].alias("v"), *more)).otherwise(far)
+        out = out.withColumns({f"_{c}_{name}": F.last(f"_{c}_{side}", True).over(strict) for c in cols})
+    return out
 
 
 def drop_neighbours(df: DataFrame, cols=MEASURES) -> DataFrame:
@@ -192,26 +189,26 @@ def fill(df: DataFrame, how, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     return drop_neighbours(near.withColumns({c: how(c) for c in cols}), cols).select(*df.columns)
 
 
-def fill_chain(df: DataFrame, cols, keys=KEYS, time: str = TIME, chunk: str = CHUNK, last: str = "avg",
-               interpolate: bool = True) -> DataFrame:
-    """Linear, then last value, next value, series mean (or median), zero."""
-    from sensorlab.functions.groups import quantile_columns, attach
-
-    cols = list(cols)
-    near = neighbours(df, cols, keys, time, chunk, detail=False)
-    first = (lambda c: linear(c, both=True)) if interpolate else locf
-    near = near.withColumns({c: F.coalesce(first(c), locf(c), nocb(c)) for c in cols})
-    # Only a series without any valid value is left; the mean and median of such a series are
-    # null as well, so the wider group decides when one is given.
-    out = drop_neighbours(near, cols).select(*df.columns)
-    if last == "median":
-        wide = quantile_columns(df, cols, {"mid": 0.5})
-    else:
-        wide = df.agg(*[F.avg(c).alias(f"{c}_mid") for c in cols])
-    out = attach(out, wide.select(*[F.col(f"{c}_mid").alias(f"_{c}_mid") for c in cols]))
-    return out.withColumns({
-        c: F.coalesce(c, f"_{c}_mid", F.lit(0.0)) for c in cols
-    }).drop(*[f"_{c}_mid" for c in cols])
+def fill_chain(df: DataFrame, cols, keys=KEYS, time: str = TIME, chunk: str = CHUNK, interpolate: bool = True) -> DataFrame:
+    """Linear (or the last value), then next value, then zero.
+
+    A series that has any valid value is complete after the first two; one without has no mean or
+    median either, so zero is what is left for it.
+    """
+    first = (lambda c: linear(c, both=True)) if interpolate else (lambda c: F.coalesce(locf(c), nocb(c)))
+    return fill(df, lambda c: F.coalesce(first(c), F.lit(0.0)), list(cols), keys, time, chunk)
+
+
+def running_count(df: DataFrame, flagged: Column, out: str, keys=KEYS, time: str = TIME, chunk: str = CHUNK, order=()) -> DataFrame:
+    """Adds the number of flagged rows of the series up to and including each row."""
+    keys, group = list(keys), [*keys, "_chunk"]
+    base = with_chunk(df, time, chunk).withColumn("_one", flagged.cast("bigint"))
+    across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = base.groupBy(*group).agg(F.sum("_one").alias("_s")).select(
+        *group, F.coalesce(F.sum("_s").over(across), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy(*group).orderBy(time, *order).rowsBetween(Window.unboundedPreceding, 0)
+    return base.withColumn(out, F.sum("_one").over(within)).join(chunks, group, "left").withColumn(
+        out, F.col(out) + F.col("_offset")).drop("_chunk", "_one", "_offset")
 
 
 # --- row-frame windows ------------------------------------------------------------------------

@@ -87,27 +87,25 @@ def outlier_summary(df: DataFrame, cols=MEASURES, by=("period",)) -> DataFrame:
         F.sum("f").alias("outliers"), F.count(F.lit(1)).alias("rows"), F.avg("f").alias("rate"))
 
 
-def robust_medians(df: DataFrame, c: str, by=("zone", "period")) -> DataFrame:
-    """Per (group, day, hour) with flagged rows: median of its unflagged values, else the group's, else of all its values."""
-    by = list(by)
-    plain = df.withColumn("_clean", F.when(F.col(flag(c)) == 0, F.col(c)))
-    cells = plain.filter(F.col(flag(c)) == 1).select(*by, "day", "hour").distinct()
-    needed = plain.join(lookup(cells), [*by, "day", "hour"], "left_semi")
-    fine = quantile_columns(needed, ["_clean"], {"fine": 0.5}, [*by, "day", "hour"])
-    wide = quantile_columns(plain, ["_clean", c], {"mid": 0.5}, by)
-    return cells.join(lookup(fine), [*by, "day", "hour"], "left").join(lookup(wide), by, "left").select(
-        *by, "day", "hour", F.coalesce("_clean_fine", "_clean_mid", f"{c}_mid").alias("median"))
+def robust_medians(df: DataFrame, cols=MEASURES, by=("zone", "period")) -> DataFrame:
+    """Per (group, day, hour) with flagged rows, for each measure: the median of the unflagged values
+    there, else of those of the whole group, else of all values of the group."""
+    by, cell = list(by), [*by, "day", "hour"]
+    plain = df.withColumns({f"_{c}": F.when(F.col(flag(c)) == 0, F.col(c)) for c in cols})
+    cells = lookup(df.filter(F.greatest(*[F.col(flag(c)) for c in cols], F.lit(0)) == 1).select(*cell).distinct())
+    kept = [f"_{c}" for c in cols]
+    fine = quantile_columns(plain.join(cells, cell, "left_semi"), kept, {"fine": 0.5}, cell)
+    wide = quantile_columns(plain, [*kept, *cols], {"mid": 0.5}, by)
+    return cells.join(lookup(fine), cell, "left").join(lookup(wide), by, "left").select(
+        *cell, *[F.coalesce(f"_{c}_fine", f"_{c}_mid", f"{c}_mid").alias(f"{c}_median") for c in cols])
 
 
 def impute_outliers(df: DataFrame, cols=MEASURES, by=("zone", "period")) -> DataFrame:
     """Replace flagged values by the robust median of their group."""
-    by, out = list(by), df
-    for c in cols:
-        medians = robust_medians(df, c, by).withColumnRenamed("median", f"_{c}_median")
-        out = out.join(lookup(medians), [*by, "day", "hour"], "left")
-    return out.withColumns({
-        c: F.when(F.col(flag(c)) == 1, F.col(f"_{c}_median")).otherwise(F.col(c)) for c in cols
-    }).drop(*[f"_{c}_median" for c in cols])
+    medians = lookup(robust_medians(df, cols, by))
+    return df.join(medians, [*by, "day", "hour"], "left").withColumns({
+        c: F.when(F.col(flag(c)) == 1, F.col(f"{c}_median")).otherwise(F.col(c)) for c in cols
+    }).drop(*[f"{c}_median" for c in cols])
 
 
 def fence_impute(df: DataFrame, c: str = "humidity", by=("zone", "period")) -> DataFrame:
