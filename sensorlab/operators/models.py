@@ -8,23 +8,23 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorlab.functions.calendar import calendar_features
+from sensorlab.functions.draws import key_text, uniform
 from sensorlab.functions.groups import category_codes
 from sensorlab.functions.missing import sentinel_to_null
 from sensorlab.operators.evaluate import regression_metrics
-from sensorlab.operators.ordered import CHUNK, fill
-from sensorlab.operators.ordered import linear
+from sensorlab.operators.ordered import CHUNK, fill, linear
 from sensorlab.schema import KEYS, MEASURES, TIME
 from sensorlab.session import stage
 
 NOT_FEATURES = ("year_month", "WSgust_Max", "WD_Std")
 
 
-def in_training(keys, share: float = 0.8, seed: int = 42) -> Column:
+def in_training(keys, time: str = TIME, share: float = 0.8, seed: int = 42) -> Column:
     """A split that depends on the row's key only, not on partitioning."""
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10_000)) < int(share * 10_000)
+    return uniform(key_text(keys, time), "split", seed) < share
 
 
-def model_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, codes=True) -> DataFrame:
+def model_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK) -> DataFrame:
     """Adds the feature columns used by the models: clock, coded ids and weather without gaps.
 
     Feature columns are ``f_<name>``; the given columns stay as they were.
@@ -58,7 +58,7 @@ def train_fill_models(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME,
     ``df`` comes from ``model_features``. Returns ``{measure: model}`` and the held-out metrics.
     """
     names, models, scored = feature_names(df), {}, None
-    train = in_training([*keys, time], share, seed)
+    train = in_training(keys, time, share, seed)
     for c in cols:
         known = stage(df.filter(F.col(c).isNotNull()).select(*names, F.col(c).alias("label"), train.alias("_train")))
         steps = [
