@@ -63,13 +63,13 @@ def fill_arima(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, histor
 
         def fit(gaps: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
             if gaps.empty or seen.empty:
-                return pd.DataFrame({f.name: [] for f in schema})
+                return pd.DataFrame(columns=schema.names, dtype=object)
             seen = seen.sort_values("_rank")
             ranks, values = seen["_rank"].to_numpy(), seen["_v"].to_numpy()
             ends = np.searchsorted(ranks, gaps["_rank"].to_numpy(), side="right")
-            result = gaps[[*keys, "_rank"]].copy()
+            result = {k: gaps[k].to_numpy() for k in (*keys, "_rank")}
             result["_f"] = [forecast_next(values[max(0, e - history):e]) for e in ends]
-            return result
+            return pd.DataFrame(result)
 
         left, right = wanted.toDF(*wanted.columns), observed.toDF(*observed.columns)
         forecasts = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(fit, schema)

@@ -81,10 +81,11 @@ def prepare(df: DataFrame, keys=KEYS, time: str = TIME, encode=("zone", "device_
     if given:
         out = fill(out, lambda c: F.coalesce(linear(c, both=True), F.lit(0.0)), given, keys, time, chunk)
     text = [n for n, t in out.dtypes if t == "string" and n not in ("house", time)]
-    out = fill_mode(out, text)
+    out = fill_mode(stage(out), text)
     if "house" not in encode:
         out = out.drop("house")
-    out = out.withColumns({c: F.col(c).cast("double") for c in numeric})
+    # Read by the encoding, the scaling and the null check.
+    out = stage(out.withColumns({c: F.col(c).cast("double") for c in numeric}))
     for c in encode:
         out = one_hot(out, c, (values or {}).get(c))
     scaler = scale_stats(out, numeric) if scaler is None else scaler
@@ -305,25 +306,26 @@ class Reconstruction:
     def fit(self, df, features, label=None, row="row"):
         features = list(features)
         means = df.agg(*[F.avg(f).alias(f) for f in features]).first()
-        centred = stage(df.select(
-            F.array(*[F.col(f).cast("double") - F.lit(float(means[f])) for f in features]).alias("_x"),
-            *[(F.col(f) - F.lit(float(means[f]))).alias(f) for f in features],
+        means = [float(means[f]) for f in features]
+        table = stage(df.select(
+            *[F.col(f).cast("double").alias(f) for f in features],
             (uniform(F.col(row).cast("string"), "validation") < 0.2).alias("_held")))
-        table = VectorAssembler(inputCols=features, outputCol="features").transform(centred)
         most = min(max(self.components), len(features))
-        axes = PCA(k=most, inputCol="features", outputCol="pc").fit(table.filter("NOT _held")).pc.toArray()
+        vectors = VectorAssembler(inputCols=features, outputCol="features").transform(table.filter("NOT _held"))
+        axes = PCA(k=most, inputCol="features", outputCol="pc").fit(vectors).pc.toArray()
         tried = [k for k in self.components if k <= most] or [most]
-        errors = {k: table.filter("_held").agg(F.avg(_rebuild_error(axes[:, :k])("_x"))).first()[0] for k in tried}
+        point = F.array(*features)
+        errors = {k: table.filter("_held").agg(F.avg(_rebuild_error(axes[:, :k], means)(point))).first()[0] for k in tried}
         k = min(tried, key=lambda c: (errors[c], c))
-        scored = table.withColumn("score", _rebuild_error(axes[:, :k])("_x"))
+        scored = table.select(_rebuild_error(axes[:, :k], means)(point).alias("score"))
         cut = quantiles(scored, ["score"], [self.quantile]).first()["value"]
-        self.model = {"features": features, "means": [float(means[f]) for f in features], "axes": axes[:, :k].tolist(), "cut": cut}
+        self.model = {"features": features, "means": means, "axes": axes[:, :k].tolist(), "cut": cut}
         return self
 
     def score(self, df):
         m = _fitted(self.model)
-        x = F.array(*[F.col(f).cast("double") - F.lit(v) for f, v in zip(m["features"], m["means"])])
-        return df.withColumn("score", _rebuild_error(np.array(m["axes"]))(x)).withColumn(
+        point = F.array(*[F.col(f).cast("double") for f in m["features"]])
+        return df.withColumn("score", _rebuild_error(np.array(m["axes"]), m["means"])(point)).withColumn(
             "predicted", (F.col("score") > m["cut"]).cast("int"))
 
     def save(self, path):
@@ -341,10 +343,10 @@ class Reconstruction:
         return self
 
 
-def _rebuild_error(axes: np.ndarray):
+def _rebuild_error(axes: np.ndarray, means):
     @pandas_udf("double")
     def error(x: pd.Series) -> pd.Series:
-        points = np.stack(x.to_numpy()) if len(x) else np.empty((0, len(axes)))
+        points = np.stack(x.to_numpy()) - means if len(x) else np.empty((0, len(axes)))
         return pd.Series(((points - points @ axes @ axes.T) ** 2).mean(axis=1))
 
     return error

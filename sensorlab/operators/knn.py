@@ -76,7 +76,7 @@ def knn_join(targets: DataFrame, refs: DataFrame, features, k: int, target_id, o
 
     def nearest(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if t.empty or r.empty:
-            return pd.DataFrame({f.name: [] for f in schema})
+            return pd.DataFrame(columns=schema.names, dtype=object)
         r = r.sort_values(order, kind="stable").reset_index(drop=True)
         tx, rx, keep = np.stack(t["_x"].to_numpy()), np.stack(r["_x"].to_numpy()), min(k, len(r))
         rows, picks, squares = [], [], []

@@ -16,13 +16,15 @@ def detect_anomalies(df: DataFrame, candidates=None, rate: float = 0.1, keys=KEY
     The given data are scaled with the scaler and encoded with the ids of the training data.
     """
     candidates = candidates if candidates is not None else [d() for d in detectors.DETECTORS.values()]
+    df = stage(df)
     numeric = [f for f, t in df.dtypes if t == "double"]
     values = {c: [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().limit(1001).collect()]
               for c in ("zone", "device_id") if c in df.columns}
     copies = detectors.bootstrap(df, keys, time)
     injected = detectors.inject_anomalies(copies, numeric, [*keys, "copy"], time, rate)
     injected = injected.withColumns({"row": key_text([*keys, "copy"], time), "_train": in_training([*keys, "copy"], time)})
-    labels = stage(injected.select("row", "anomaly", "_train"))
+    injected = stage(injected)
+    labels = injected.select("row", "anomaly", "_train")
     ready, scaler = detectors.prepare(injected.drop("anomaly", "_train", "copy").withColumn("_row_text", F.col("row")).drop("row"),
                                       keys, time, values=values)
     synthetic = stage(ready.withColumnRenamed("_row_text", "row").join(labels, "row"))

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,15 +23,27 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; in local mode one of our own."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="sensorlab-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return context.getCheckpointDir()
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
-
-    Uses the shared folder the cluster names in ``spark.checkpoint.dir``; only where none is
-    set (tests) does it make a folder of its own.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sensorlab-", dir=os.environ.get("TMPDIR", "/tmp")))
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
