@@ -7,7 +7,7 @@ from sensorlab.checks.registry import (
     CLEAN, DENSE, GRID, HOLES, K, MEASURES, READINGS, WEATHER, clean, hermite_sql, linear_sql, near_sql, query, rnd, rounded,
 )
 from sensorlab.functions import calendar, missing
-from sensorlab.operators import align, gaps, ordered
+from sensorlab.operators import align, fills, gaps, ordered
 
 STEP = "15 minutes"
 readings, weather, feed = fixtures.readings, fixtures.weather, fixtures.feed
@@ -274,12 +274,12 @@ def _filled(expression):
 
 @query(_filled(lambda c: f"coalesce({c}, {c}_p.v)"))
 def fill_locf(spark, d):
-    return rounded(ordered.fill(holes(spark, d), ordered.locf))
+    return rounded(fills.impute(holes(spark, d), "locf"))
 
 
 @query(_filled(lambda c: f"coalesce({c}, {c}_n.v)"))
 def fill_nocb(spark, d):
-    return rounded(ordered.fill(holes(spark, d), ordered.nocb))
+    return rounded(fills.impute(holes(spark, d), "nocb"))
 
 
 @query(_filled(linear_sql))

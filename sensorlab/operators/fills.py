@@ -24,11 +24,11 @@ def _coalesce(df: DataFrame, cols) -> DataFrame:
 
 
 def fill_locf(df: DataFrame, cols=MEASURES, keys=KEYS, chunk: str = CHUNK) -> DataFrame:
-    return ordered.fill(df, ordered.locf, cols, keys, chunk=chunk)
+    return ordered.fill(df, ordered.locf, cols, keys, chunk=chunk, sides="p")
 
 
 def fill_nocb(df: DataFrame, cols=MEASURES, keys=KEYS, chunk: str = CHUNK) -> DataFrame:
-    return ordered.fill(df, ordered.nocb, cols, keys, chunk=chunk)
+    return ordered.fill(df, ordered.nocb, cols, keys, chunk=chunk, sides="n")
 
 
 def fill_linear(df: DataFrame, cols=MEASURES, keys=KEYS, limit: int = None, both: bool = False, axis: str = "rn",

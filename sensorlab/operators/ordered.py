@@ -24,14 +24,14 @@ def with_chunk(df: DataFrame, time: str = TIME, chunk: str = CHUNK) -> DataFrame
 
 
 def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, order=None,
-               detail: bool = True) -> DataFrame:
+               detail: bool = True, sides: str = "pn") -> DataFrame:
     """For every row its position in the series and the valid values around it, per column.
 
     Adds ``_rn``, ``_first`` and ``_last`` (first and last time of the series, in microseconds) and, per
     column c, ``_c_p`` (nearest valid row at or before) and ``_c_n`` (at or after): structs of
     ``ts, rn, v``, the next valid row outward ``ts2, v2`` and ``edge``, the time of the series row
     adjoining it on the side of the gap. Without ``detail`` the structs hold ``ts, rn, v`` only.
-    Null is missing.
+    Null is missing. ``sides`` limits the work to one side ("p" or "n").
 
     A first pass finds the outermost valid rows of each chunk, one row per chunk. The second pass
     windows over the chunks again with two extra rows, one at each end, that stand for everything
@@ -41,7 +41,7 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     order = list(order or cols)
     group = [*keys, "_chunk"]
     base = with_chunk(df, time, chunk).withColumns({"_ts": micros(time), "_side": F.lit(0)})
-    ends = _chunk_ends(_near_in_chunk(base, cols, group, order, detail), cols, keys, group, detail)
+    ends = _chunk_ends(base, cols, keys, group, order, detail)
     heads = ends.select(
         *group, F.lit(-1).alias("_side"), F.col("_prev_to").alias("_ts"), "_offset", "_first", "_last",
         *[F.col(f"_{c}_before").alias(f"_{c}_end") for c in cols])
@@ -51,66 +51,85 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     rows = base.unionByName(heads, True).unionByName(tails, True)
     up = Window.partitionBy(*group).orderBy("_side", "_ts", *order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({n: F.max(n).over(up) for n in ("_offset", "_first", "_last")})
-    near = _near_in_chunk(rows, cols, group, order, detail, carried=True).filter("_side = 0")
+    near = _near_in_chunk(rows, cols, group, order, detail, sides).filter("_side = 0")
     return near.drop("_chunk", "_side", "_offset", *[f"_{c}_end" for c in cols])
 
 
-def _near_in_chunk(rows: DataFrame, cols, group, order, detail: bool, carried: bool = False) -> DataFrame:
+def _near_in_chunk(rows: DataFrame, cols, group, order, detail: bool, sides: str) -> DataFrame:
     """Position and nearest valid rows within ``(keys, _chunk)``, all upward windows before all downward ones."""
     up = Window.partitionBy(*group).orderBy("_side", "_ts", *order)
     down = Window.partitionBy(*group).orderBy(F.desc("_side"), F.desc("_ts"), *[F.desc(c) for c in order])
     start = Window.unboundedPreceding
     number = F.sum(F.when(F.col("_side") == 0, 1).otherwise(0)).over(up.rowsBetween(start, 0))
-    out = rows.withColumn("_rn", number + F.col("_offset") if carried else number)
-
-    def known(c, plain, far):
-        return F.coalesce(plain, far) if carried else plain
+    out = rows.withColumn("_rn", number + F.col("_offset"))
 
     def bare(c):
         own = F.when(F.col(c).isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v")))
-        return known(c, own, F.when(F.col(f"_{c}_end").isNotNull(), F.struct(f"_{c}_end.ts", f"_{c}_end.v")) if carried else None)
+        return F.coalesce(own, F.when(F.col(f"_{c}_end").isNotNull(), F.struct(f"_{c}_end.ts", f"_{c}_end.v")))
 
     def point(c, edge):
         more = [F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col(edge).alias("edge")]
-        own = F.when(F.col(c).isNotNull(), F.struct(
-            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else [])))
-        return known(c, own, F.col(f"_{c}_end") if carried else None)
+        return F.coalesce(F.when(F.col(c).isNotNull(), F.struct(
+            F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else []))), F.col(f"_{c}_end"))
 
     if detail:
-        out = out.withColumns({
-            "_above": F.lead("_ts").over(up), "_below": F.lag("_ts").over(up),
-            **{f"_{c}_2": F.last(bare(c), True).over(up.rowsBetween(start, -1)) for c in cols}})
-    out = out.withColumns({f"_{c}_p": F.last(point(c, "_above"), True).over(up.rowsBetween(start, 0)) for c in cols})
-    if detail:
-        out = out.withColumns({f"_{c}_2": F.last(bare(c), True).over(down.rowsBetween(start, -1)) for c in cols})
-    out = out.withColumns({f"_{c}_n": F.last(point(c, "_below"), True).over(down.rowsBetween(start, 0)) for c in cols})
+        out = out.withColumns({"_above": F.lead("_ts").over(up), "_below": F.lag("_ts").over(up)})
+    for side, order_by, edge in (("p", up, "_above"), ("n", down, "_below")):
+        if side not in sides:
+            continue
+        if detail:
+            out = out.withColumns({f"_{c}_2": F.last(bare(c), True).over(order_by.rowsBetween(start, -1)) for c in cols})
+        out = out.withColumns({f"_{c}_{side}": F.last(point(c, edge), True).over(order_by.rowsBetween(start, 0)) for c in cols})
     return out.drop("_above", "_below", *[f"_{c}_2" for c in cols])
 
 
-def _chunk_ends(local: DataFrame, cols, keys, group, detail: bool) -> DataFrame:
-    """One row per chunk: rows before it, its adjoining times, and the valid rows nearest to it outside."""
-    ends = local.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to"),
-        *[F.max_by(f"_{c}_p", "_rn").alias(f"_{c}_last") for c in cols],
-        *[F.min_by(f"_{c}_n", "_rn").alias(f"_{c}_head") for c in cols])
+def _chunk_ends(base: DataFrame, cols, keys, group, order, detail: bool) -> DataFrame:
+    """One row per chunk: rows before it, its adjoining times, and the valid rows nearest to it outside.
+
+    Needs one sort: the outermost valid rows of a chunk are aggregates over numbered rows.
+    """
+    up = Window.partitionBy(*group).orderBy("_ts", *order)
+    start = Window.unboundedPreceding
+    rows = base.withColumn("_rn", F.row_number().over(up).cast("bigint"))
+    if detail:
+        rows = rows.withColumns({
+            "_above": F.lead("_ts").over(up), "_below": F.lag("_ts").over(up),
+            **{f"_{c}_2": F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v"))), True).over(
+                up.rowsBetween(start, -1)) for c in cols},
+            **{f"_{c}_k": F.count(c).over(up.rowsBetween(start, 0)) for c in cols}})
+    agg = [F.count(F.lit(1)).alias("_rows"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to")]
+    for c in cols:
+        here = [F.col("_rn").alias("rn"), F.col("_ts").alias("ts"), F.col(c).alias("v")]
+        valid = F.col(c).isNotNull()
+        more = [F.col(f"_{c}_2.ts").alias("ts2"), F.col(f"_{c}_2.v").alias("v2"), F.col("_above").alias("edge")] if detail else []
+        agg.append(F.max(F.when(valid, F.struct(*here, *more))).alias(f"_{c}_last"))
+        more = [F.col("_below").alias("edge")] if detail else []
+        agg.append(F.min(F.when(valid, F.struct(*here, *more))).alias(f"_{c}_head"))
+        if detail:
+            agg.append(F.max(F.when(valid & (F.col(f"_{c}_k") == 2), F.struct(F.col("_ts").alias("ts"), F.col(c).alias("v")))).alias(f"_{c}_second"))
+    out = rows.groupBy(*group).agg(*agg)
     up = Window.partitionBy(*keys).orderBy("_chunk")
     down = Window.partitionBy(*keys).orderBy(F.desc("_chunk"))
     series = Window.partitionBy(*keys)
-    out = ends.withColumns({
-        "_offset": F.coalesce(F.sum("_rows").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    out = out.withColumns({
+        "_offset": F.coalesce(F.sum("_rows").over(up.rowsBetween(start, -1)), F.lit(0)),
         "_next_from": F.lead("_from").over(up),
         "_prev_to": F.lag("_to").over(up),
         "_first": F.min("_from").over(series),
         "_last": F.max("_to").over(series),
     })
     for side, outward, edge, name in (("last", up, "_next_from", "before"), ("head", down, "_prev_to", "after")):
-        strict = outward.rowsBetween(Window.unboundedPreceding, -1)
+        strict = outward.rowsBetween(start, -1)
 
         def full(c):
             own, far = F.col(f"_{c}_{side}"), F.col(f"_{c}_far")
+            if side == "last":
+                ts2, v2 = own["ts2"] if detail else None, own["v2"] if detail else None
+            else:
+                ts2, v2 = F.col(f"_{c}_second.ts"), F.col(f"_{c}_second.v")
             more = [
-                F.coalesce(own["ts2"], far["ts"]).alias("ts2"),
-                F.when(own["ts2"].isNotNull(), own["v2"]).otherwise(far["v"]).alias("v2"),
+                F.coalesce(ts2, far["ts"]).alias("ts2"),
+                F.when(ts2.isNotNull(), v2).otherwise(far["v"]).alias("v2"),
                 F.coalesce(own["edge"], F.col(edge)).alias("edge"),
             ] if detail else []
             return F.when(own.isNotNull(), F.struct(
@@ -183,9 +202,10 @@ def gap_end(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.when(F.col(f"_{c}_n").isNull(), F.col("_last")).otherwise(F.col(f"_{c}_n.edge")))
 
 
-def fill(df: DataFrame, how, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, detail: bool = False) -> DataFrame:
+def fill(df: DataFrame, how, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, detail: bool = False,
+         sides: str = "pn") -> DataFrame:
     """Replace each column by ``how(column)`` evaluated over its neighbours (``hermite`` needs ``detail``)."""
-    near = neighbours(df, cols, keys, time, chunk, detail=detail)
+    near = neighbours(df, cols, keys, time, chunk, detail=detail, sides=sides)
     return drop_neighbours(near.withColumns({c: how(c) for c in cols}), cols).select(*df.columns)
 
 

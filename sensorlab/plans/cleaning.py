@@ -17,7 +17,8 @@ def model_inputs(c: str) -> list:
 
 def label(df: DataFrame, cols=MEASURES, by=("zone", "period"), forest: dict = None) -> DataFrame:
     """Percentile, rapid-change and isolation-forest labels, any of which flags a row."""
-    out = stage(outliers.label_outliers(df, cols, by))
+    out = outliers.label_outliers(df, cols, by)
+    out = out if forest is None else stage(out)
     if forest is not None:
         key = key_text(KEYS, TIME)
         for c in cols:
@@ -53,7 +54,8 @@ def learn(df: DataFrame, cols=MEASURES, time: str = TIME, seed: int = 42, **trai
 
 def remove_outliers(df: DataFrame, cols=MEASURES, unit: str = "month", forest: dict = None, training: dict = None) -> dict:
     """Features, labels, models and replacement; returns the cleaned table and the summary of flags."""
-    featured = outliers.outlier_features(df, cols, unit=unit)
+    # Read by the quantiles, the labels and the forests.
+    featured = stage(outliers.outlier_features(df, cols, unit=unit))
     labelled = label(featured, cols, forest=forest)
     flagged = stage(learn(labelled, cols, **(training or {})))
     return {"table": outliers.impute_outliers(flagged, cols), "flagged": flagged,
