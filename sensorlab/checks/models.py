@@ -9,7 +9,7 @@ from sensorlab.checks.registry import CLEAN, HOLES, K, READINGS, WEATHER, clean,
 from sensorlab.functions.draws import key_text, normal, poisson_one, uniform
 from sensorlab.operators import align, detectors, evaluate, fills, isolation, models, ordered
 from sensorlab.plans import cleaning, detection, imputation, ingest
-from sensorlab.session import stage
+from sensorlab.session import scratch, stage
 
 KEYS = ["zone", "device_id", "house"]
 
@@ -172,6 +172,15 @@ def lof_scores(spark, d):
     return rounded(factor.select(F.col("_target").alias("row"), "lof"))
 
 
+@query(f"""{_PROFILE} SELECT a."row" AS "row", b."row" AS neighbour, {rnd(f'sqrt(round({_D2}, 9))')} AS distance,
+ CAST(row_number() OVER (PARTITION BY a."row" ORDER BY round({_D2}, 9), b."row") AS INTEGER) AS nth FROM p a JOIN p b ON TRUE QUALIFY nth <= 5""")
+def knn_join(spark, d):
+    from sensorlab.operators import knn
+    table = stage(profiles(spark, d))
+    out = knn.knn_join(table, table.withColumnRenamed("row", "neighbour"), PROFILE, 5, ["row"], "neighbour")
+    return rounded(out.select("row", "neighbour", "distance", "nth"))
+
+
 @query()
 def lof_detector(spark, d):
     table = stage(profiles(spark, d))
@@ -233,6 +242,14 @@ def fill_model_metrics(spark, d):
     return _trained(spark, d)[1]
 
 
+@query()
+def model_reload(spark, d):
+    path = scratch(spark, "models")
+    models.save_models(_trained(spark, d)[0], path)
+    table = align.asof_join(cleaned(spark, d), fixtures.weather(spark, d), "2 hours")
+    return models.fill_model(table, models.load_models(path, ["temperature"]))
+
+
 @query()
 def feature_importance(spark, d):
     return models.feature_importance(_trained(spark, d)[0])

@@ -59,3 +59,13 @@ def metrics_json(spark, d):
     path = scratch(spark, "metrics")
     writers.write_metrics(fixtures.readings(spark, d).groupBy("zone").agg(F.count(F.lit(1)).alias("total_rows")), path)
     return spark.read.schema("zone string, total_rows bigint").json(path)
+
+
+@query(f"""WITH {READINGS} SELECT 'sentinel' AS rule, count(*) FILTER (WHERE temperature = -1) = 0 AS written FROM readings
+UNION ALL SELECT 'impossible', count(*) FILTER (WHERE temperature > 1000) = 0 FROM readings""")
+def conditional_sink(spark, d):
+    table, rows = fixtures.readings(spark, d), []
+    for rule, condition in (("sentinel", F.col("temperature") == -1), ("impossible", F.col("temperature") > 1000)):
+        flagged = table.withColumn("predicted", F.coalesce(condition.cast("int"), F.lit(0)))
+        rows.append((rule, writers.write_if_clean(table, flagged, scratch(spark, "clean"), format="parquet")))
+    return spark.createDataFrame(rows, "rule string, written boolean")
