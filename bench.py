@@ -65,7 +65,7 @@ def main():
     writers.write_table(label(holes), f"{folder}/labelled")
     times["label_and_write_csv"] = round(time.time() - start, 3)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""), "rows": rows}))
+                      "queries": times, "sf": float(os.path.basename(SF_DIR.rstrip("/")).replace("sf", "") or 0), "rows": rows}))
     spark.stop()
 
 

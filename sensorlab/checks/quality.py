@@ -9,6 +9,7 @@ from sensorlab.checks.registry import (
 )
 from sensorlab.functions import groups, missing
 from sensorlab.operators import evaluate, fills, outliers
+from sensorlab.session import stage
 
 KEYS = ["zone", "device_id", "house"]
 STATS = ("mean", "median", "variance")
@@ -89,8 +90,8 @@ e AS (SELECT *, {', '.join(f'round(abs(imputed_{s} - original_{s}), 5) AS {s}_di
 
 
 def evaluation(spark, d):
-    table = holes(spark, d)
-    return evaluate.evaluate_imputation(table, fills.impute_all(table, METHODS, options=OPTIONS))
+    table = stage(holes(spark, d))
+    return evaluate.evaluate_imputation(table, stage(fills.impute_all(table, METHODS, options=OPTIONS)))
 
 
 @query(f"{_EVAL} SELECT * FROM e")
@@ -137,8 +138,8 @@ long AS (SELECT label, month_year, 'temperature' AS "column", temperature AS v F
 
 
 def before_after(spark, d):
-    table = holes(spark, d)
-    after = fills.fill_linear(table)
+    table = stage(holes(spark, d))
+    after = stage(fills.fill_linear(table))
     from sensorlab.operators.align import union_all
     return union_all([table, after], ["Before", "After"]).withColumn("month_year", F.date_format("time", "MMM yyyy"))
 
@@ -266,7 +267,7 @@ def outlier_changes(spark, d):
 
 
 def labelled(spark, d):
-    return outliers.label_outliers(featured(spark, d))
+    return outliers.label_outliers(stage(featured(spark, d)))
 
 
 @query(f"{LABELLED} SELECT {K}, time, is_temp_outlier, is_humi_outlier FROM flagged")
@@ -303,7 +304,7 @@ def _replaced(c):
 @query(f"""{LABELLED} SELECT f.zone, f.device_id, f.house, f.time, {rnd(_replaced('temperature')[0])} AS temperature, {rnd(_replaced('humidity')[0])} AS humidity
 FROM flagged f {_replaced('temperature')[1]} {_replaced('humidity')[1]}""")
 def outlier_impute(spark, d):
-    return rounded(outliers.impute_outliers(labelled(spark, d)).select(*KEYS, "time", "temperature", "humidity"))
+    return rounded(outliers.impute_outliers(stage(labelled(spark, d))).select(*KEYS, "time", "temperature", "humidity"))
 
 
 @query(f"""WITH {CLEAN}, x AS (SELECT {K}, time, week(time) AS period, CASE WHEN device_id = 3 AND hour(time) = 5 THEN humidity * 9 ELSE humidity END AS humidity FROM clean),

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from sensorlab.functions.draws import key_text
+from sensorlab.functions.groups import distinct_values
 from sensorlab.operators import detectors
 from sensorlab.operators.evaluate import binary_metrics, roc_auc
 from sensorlab.operators.models import in_training
@@ -18,8 +19,7 @@ def detect_anomalies(df: DataFrame, candidates=None, rate: float = 0.1, keys=KEY
     candidates = candidates if candidates is not None else [d() for d in detectors.DETECTORS.values()]
     df = stage(df)
     numeric = [f for f, t in df.dtypes if t == "double"]
-    values = {c: [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().limit(1001).collect()]
-              for c in ("zone", "device_id") if c in df.columns}
+    values = {c: distinct_values(df, c) for c in ("zone", "device_id") if c in df.columns}
     copies = detectors.bootstrap(df, keys, time)
     injected = detectors.inject_anomalies(copies, numeric, [*keys, "copy"], time, rate)
     injected = injected.withColumns({"row": key_text([*keys, "copy"], time), "_train": in_training([*keys, "copy"], time)})

@@ -26,7 +26,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``; in local mode one of our own."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
     if not context.master.startswith("local"):

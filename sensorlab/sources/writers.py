@@ -23,7 +23,7 @@ def write_table(df: DataFrame, path: str, format: str = "csv", partition_by=("zo
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """Metrics as JSON lines; a metrics table has a row per method, measure and metric."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def write_if_clean(df: DataFrame, scored: DataFrame, path: str, flag: str = "predicted", **options) -> bool:
