@@ -32,7 +32,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END) AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM words),
 ids AS (SELECT s, row_number() OVER () AS t FROM (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (SELECT doc_id, t FROM shingles JOIN ids USING (s)),
