@@ -24,7 +24,7 @@ from sensorlab.llm.words import LOWER, NOT_SPACE, U64, find_words, gram_hash, gr
 
 SLOT_BITS = 22
 BLOCKS = 64
-#: Bytes of the parity signature that bounds the overlap of two sets.
+#: Bytes of the parity signature that goes with each list entry; a set's whole signature has 4 bits a shingle.
 SIGNATURE = 128
 #: Rows of one list of sets that are compared in one step; longer lists are cut into pairs of such blocks.
 LIST_BLOCK = 2048
@@ -83,10 +83,16 @@ def slot_levels(docs: DataFrame, words: int) -> np.ndarray:
     return np.where(counts > noise, 1 + np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """Parity of the number of shingles in each of 1,024 classes."""
-    odd = np.bincount((shingles & U64(8 * SIGNATURE - 1)).astype(np.int64), minlength=8 * SIGNATURE) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """Parity (packed bits) of the number of shingles in each of 4 to 8 classes a shingle, a power of two."""
+    classes = max(8 * SIGNATURE, 1 << (4 * len(shingles)).bit_length())
+    odd = np.bincount((shingles & U64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def folded(sig: np.ndarray, size: int) -> np.ndarray:
+    """The signature that fewer classes would have given."""
+    return sig if len(sig) == size else np.bitwise_xor.reduce(sig.reshape(-1, size), axis=0)
 
 
 def may_link(n1, n2, sig1, sig2, percent: int) -> np.ndarray:
@@ -101,7 +107,7 @@ def signatures(column: pa.Array) -> np.ndarray:
 
 
 SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("member", pa.int64()), ("grp", pa.int64()), ("n", pa.int64()),
-                  ("common", pa.float64()), ("prefix", pa.binary()), ("sig", pa.binary())])
+                  ("common", pa.float64()), ("prefix", pa.binary()), ("sig", pa.binary()), ("whole_sig", pa.binary())])
 
 
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -117,19 +123,20 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             keep = n + percent * n // -100 + 1 if n else 0  # n - ceil(percent * n / 100) + 1
             level = level_of[(shingles >> U64(64 - SLOT_BITS)).astype(np.int64)]
             prefix = shingles[np.argsort(level, kind="stable")[:keep]].tobytes()
+            sig = signature(shingles) if n else None
             values = (ids[row].as_py(), keys[row],
                       xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if n else None,
                       xxhash.xxh3_64_intdigest(prefix, seed=n) - (1 << 63) if n else None,
-                      n, float(level.mean()) if n else 0.0, prefix, signature(shingles) if n else None)
+                      n, float(level.mean()) if n else 0.0, prefix, folded(sig, SIGNATURE).tobytes() if n else None, sig.tobytes() if n else None)
             for name, value in zip(SETS.names, values):
                 out[name].append(value)
-            held += len(prefix)
+            held += len(prefix) + (len(sig) if n else 0)
             if held > 4 << 20:
                 yield out
                 out, held = {name: [] for name in SETS.names}, 0
         yield out
 
-    return docs.select("doc_id", "text").mapInArrow(in_batches(sets, SETS), "doc_id long, text_key long, member long, grp long, n long, common double, prefix binary, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(in_batches(sets, SETS), "doc_id long, text_key long, member long, grp long, n long, common double, prefix binary, sig binary, whole_sig binary")
 
 
 def key_of_texts(column: pa.Array) -> np.ndarray:
@@ -256,13 +263,18 @@ def star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def filtered(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and signatures can't rule out."""
-    side = lambda k: members.select(F.col("member").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"sig_{k}"))
+    """Pairs that sizes and whole signatures can't rule out: few but true links stay."""
+    side = lambda k: members.select(F.col("member").alias(k), F.col("n").alias(f"n_{k}"), F.col("whole_sig").alias(f"sig_{k}"))
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
 
     def keep(batch):
-        size = [batch.column(f"n_{k}").to_numpy() for k in "ab"]
-        good = may_link(*size, *[signatures(batch.column(f"sig_{k}")) for k in "ab"], percent) if batch.num_rows else np.zeros(0, bool)
+        sizes = np.stack([batch.column(f"n_{k}").to_numpy() for k in "ab"], axis=1)
+        good = np.zeros(len(sizes), bool)
+        for i, pair in enumerate(zip(batch.column("sig_a"), batch.column("sig_b"))):
+            x, y = (np.frombuffer(sig.as_buffer(), np.uint8) for sig in pair)
+            least = min(len(x), len(y))
+            x, y = (folded(sig, least).view(np.uint64)[None, :] for sig in (x, y))
+            good[i] = may_link(sizes[i : i + 1, 0], sizes[i : i + 1, 1], x, y, percent)[0]
         yield {k: batch.column(k).to_numpy()[good] for k in "ab"}
 
     return both.mapInArrow(in_batches(keep, pa.schema([("a", pa.int64()), ("b", pa.int64())])), "a long, b long")
@@ -343,12 +355,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     sets = staged(document_sets(docs, words, percent), "sets")
     full = sets.filter("member IS NOT NULL")
     members = staged(full.groupBy("grp", "member").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("common").alias("common"),
-                                                       F.first("sig").alias("sig")), "members")
+                                                       F.first("sig").alias("sig"), F.first("whole_sig").alias("whole_sig")), "members")
     lists = staged(shared_shingles(full, buckets), "lists")
     keys = members.select("member", "text_key")
     links = verified(docs, filtered(star_pairs(lists, members, percent), members, percent), keys, words, percent)
     roots = components(spark, links)
-    more = verified(docs, remaining_pairs(lists, members, roots, percent), keys, words, percent)
+    more = verified(docs, filtered(remaining_pairs(lists, members, roots, percent), members, percent), keys, words, percent)
     if not more.isEmpty():
         roots = components(spark, links.union(more))
     rows = sets.select("doc_id", "n", "member").join(roots.withColumnRenamed("id", "member"), "member", "left")
