@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorlab.llm import jaccard
+from sensorlab.llm import jaccard, licenses, packing, spans, urls, viterbi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +50,71 @@ LEFT JOIN (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id) r USING
 @query(JACCARD_SQL)
 def op1_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+#: The rules of op3.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+URL_SQL = f"""
+WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, {LOWER_SQL.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules AS (SELECT * FROM (VALUES {", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in URL_RULES)}) t(rule, h, p, verdict)),
+fits AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)"""
+
+
+@query(URL_SQL)
+def op3_url_filters(spark, sf_dir):
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def license_sql() -> str:
+    """Words joined by single blanks; a template is the same wording as a pattern over them."""
+    def pattern(template):
+        template = template.replace("<<optional>>", " (?:").replace("<</optional>>", " )? ")
+        out = "".join(" (?:[^ ]+ ){%s,%s} " % tuple(t[6:-2].strip().split("-")) if t.startswith("<<var") else t if t.startswith("(?:") or t == ")?" else f"{t} "
+                      for t in re.findall(r"<<var[^>]*>>|\(\?:|\)\?|[^\s()?:]+", template))
+        return re.sub(r"  +", " ", out).replace("} ", "}").replace("(?: ", "(?:").strip(" ")
+
+    def spaced(template):
+        """Every word with the blank that follows it."""
+        return "(?:^| )" + pattern(template).replace(" (?:[^ ]+ )", "(?:[^ ]+ )")
+
+    labels = [f"CASE WHEN regexp_matches(w || ' ', '{spaced(t)}') THEN '{k}' END" for k, t in licenses.TEMPLATES.items()]
+    lower = LOWER_SQL.format("coalesce(text, '')")
+    places = " + ".join(f"CASE WHEN array_to_string(l[i:i + {len(p.split()) - 1}], ' ') = '{p}' THEN 1 ELSE 0 END" for p in licenses.PHRASES)
+    base = [f"CASE WHEN contains(' ' || w || ' ', ' {p} ') THEN '{k}' END" for p, k in licenses.PHRASES.items()]
+    listed = lambda parts: f"array_to_string(list_sort(list_filter(list_distinct([{', '.join(parts)}]), lambda x: x IS NOT NULL)), ',')"
+    return f"""
+WITH lists AS (SELECT doc_id, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS l FROM documents),
+joined AS (SELECT doc_id, l, len(l) AS n_words, array_to_string(l, ' ') AS w FROM lists),
+found AS (SELECT *, list_filter(list_transform(range(1, n_words + 1), lambda i: CASE WHEN {places.replace(' + ', ' + ')} > 0 THEN i - 1 END), lambda x: x IS NOT NULL) AS p,
+  {listed(base)} AS base_labels, {listed(base + labels)} AS labels, {listed(labels)} AS own FROM joined)
+SELECT doc_id, n_words, len(p)::BIGINT AS n_base, list_min(p) AS first_word, list_max(p) AS last_word, base_labels, labels,
+  CASE WHEN own <> '' THEN 1.0 WHEN base_labels <> '' THEN 0.5 ELSE 0.0 END::DOUBLE AS score FROM found"""
+
+
+@query(license_sql())
+def op4_license_scans(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_substring_dedup(spark, sf_dir):
+    return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op9_packing(spark, sf_dir):
+    return packed_digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_token_counts(spark, sf_dir):
+    return viterbi.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
