@@ -35,6 +35,14 @@ def in_batches(function: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.
     return run
 
 
+def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of which ``keep`` says so, with all their columns."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+    return df.mapInArrow(run, df.schema)
+
+
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     """A fixed 1 MB bit filter of evenly spread 64-bit ids: no id is missed, a few others may pass."""
     place = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1

@@ -368,3 +368,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     smallest = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     return rows.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, that come first (by doc_id, nulls last, then by row) in their component.
+
+    Every document without words stays. A column named ``_row`` is replaced on the way and doesn't come back.
+    """
+    names = [c for c in docs.columns if c.lower() != "_row"]
+    rows = staged(docs.select(names).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), words, percent).withColumnRenamed("doc_id", "_row")
+    ids = rows.select("_row", F.col("doc_id").cast("long").alias("own"))
+    first = found.join(ids, "_row").groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "_row")).alias("first"))
+    return rows.join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(names)

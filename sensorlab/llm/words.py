@@ -21,6 +21,9 @@ U64 = np.uint64
 _M1, _M2, _M3 = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=U64)
 
+#: Bits of the table that tells most unknown hashes apart at once.
+TABLE_BITS = 20
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -116,3 +119,27 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
 def gram_hash(hashes: np.ndarray) -> int:
     """The hash of one whole run of words, as ``grams`` gives it for that length."""
     return int(grams(hashes, len(hashes))[0])
+
+
+def rows_of(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The row of every hash, 0 if it isn't known."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[place] == hashes, place + 1, 0)
+
+
+class Lookup:
+    """Rows of hashes by a table over their first bits; hashes that share them are looked up in order."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        top = (known >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        self.may = np.zeros(1 << TABLE_BITS, bool)
+        self.may[top] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), np.int64)
+        some = np.flatnonzero(self.may[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+        out[some] = rows_of(hashes[some], self.known)
+        return out
