@@ -13,48 +13,99 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from sensorlab.llm.common import in_batches, staged, text_only
 
-#: Words whose ids a task remembers.
-MOST_WORDS = 300_000
+#: Words whose ids a Python worker remembers, from task to task.
+MOST_WORDS = 600_000
 SPECIAL = "<|endoftext|>"
 
+#: A letter or digit before punctuation other than an apostrophe always ends a token's text.
+LETTER, POINT = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[48:58] = LETTER[65:91] = LETTER[97:123] = True
+POINT[33:48] = POINT[58:65] = POINT[91:97] = POINT[123:127] = True
+POINT[39] = False
+
 
 class WordIds:
-    """Ids of texts by their white-space words, whose ids don't depend on what stands around.
+    """Ids of texts by parts of their white-space words whose ids don't depend on what stands around.
 
-    New words are encoded together, parted by a special token; a word that holds its text is encoded alone.
+    Words are cut before punctuation and their A-Z lower-cased, as the tokenizer does too, so that few differ. New words
+    are encoded together: those of plain letters parted by blanks, as each ends with a piece that ends a word; others
+    parted by a special token; a word that may hold that token is encoded alone.
     """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.cut = self.tokenizer.token_to_id(SPECIAL)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.letters = Tokenizer.from_str(definition)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
 
+    def words(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        raw = np.frombuffer(text, np.uint8)
+        places = np.flatnonzero(LETTER[raw[:-1]] & POINT[raw[1:]]) + 1
+        return np.insert(raw, places, 32).tobytes().lower().split()
+
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for k in range(0, len(plain), 2000):
-            part = plain[k : k + 2000]
-            ids = np.array(self.tokenizer.encode(SPECIAL.join(w.decode() for w in part), add_special_tokens=False).ids, self.kind)
-            ends = np.append(np.flatnonzero(ids == self.cut), len(ids))
-            begins = np.append(0, ends[:-1] + 1)
-            self.known.update(zip(part, (ids[a:b].tobytes() for a, b in zip(begins, ends))))
+        plain, other = {}, []
         for w in words:
+            s = w.decode()
+            if s.isalpha() and max(s) < "\u0100":
+                plain[w] = s.lower()
+            else:
+                other.append(w)
+        self._together(list(plain), list(plain.values()), self.letters, " ")
+        self._together([w for w in other if b"<|" not in w], None, self.tokenizer, SPECIAL)
+        for w in other:
             if b"<|" in w:
-                self.known[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+                self.known[w] = self._ids(self.tokenizer, w.decode()).tobytes()
+
+    def _ids(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _together(self, words: list[bytes], texts: list[str] | None, tokenizer, blank: str) -> None:
+        for k in range(0, len(words), 2000):
+            part = words[k : k + 2000]
+            ids = self._ids(tokenizer, blank.join(texts[k : k + 2000] if texts else [w.decode() for w in part]))
+            if texts:
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                begins = np.append(0, ends[:-1])
+            else:
+                ends = np.append(np.flatnonzero(ids == self.cut), len(ids))
+                begins = np.append(0, ends[:-1] + 1)
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer's pieces don't part words")
+            self.known.update(zip(part, (ids[a:b].tobytes() for a, b in zip(begins, ends))))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        parts, known = [self.words(t) for t in texts], self.known
+        new = dict.fromkeys(w for words in parts for w in words if w not in known)
+        if len(known) + len(new) > MOST_WORDS:
+            known.clear()
+            new = dict.fromkeys(w for words in parts for w in words)
+        if new:
+            self.learn(list(new))
+        return [b"".join([known[w] for w in words]) for words in parts]
+
+
+#: One coder for each tokenizer that a worker has met.
+CODERS: dict[int, WordIds] = {}
+
 
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            if len(self.known) > MOST_WORDS:
-                self.known.clear()
-            self.learn([w for w in dict.fromkeys(words) if w not in self.known])
-            return b"".join([self.known[w] for w in words])
+def coder_of(definition: str) -> WordIds:
+    key = hash(definition)
+    if key not in CODERS:
+        CODERS[key] = WordIds(definition)
+    return CODERS[key]
 
 
 def document_ids(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
@@ -62,19 +113,13 @@ def document_ids(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
     def encode(batches):
-        coder = WordIds(sent.value)
+        coder = coder_of(sent.value)
         end = np.array([end_id], coder.kind).tobytes()
         shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
-            new: dict[bytes, None] = {}
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                texts = [memoryview(t.as_buffer()).tobytes() for t in part.column("text")]
-                if len(coder.known) > MOST_WORDS:
-                    coder.known.clear()
-                new = dict.fromkeys(w for t in texts for w in t.split() if w not in coder.known)
-                coder.learn(list(new))
-                ids = [coder.encode(t) + end for t in texts]
+                ids = [x + end for x in coder.encode([t.as_buffer().to_pybytes() for t in part.column("text")])]
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), part.column("source"), pa.array([len(x) // coder.kind.itemsize for x in ids], pa.int64()),
                     pa.array(ids, pa.binary())], schema=shape)
@@ -130,7 +175,7 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int =
         definition = file.read()
     wide = Tokenizer.from_str(definition).get_vocab_size() > 1 << 16
     rows = staged(document_ids(text_only(docs, F.col("source").cast("string").alias("source")), definition, end_id), "ids")
-    placed = rows.select("row", "doc_id", F.col("n").alias("doc_tokens"), "ids").join(schedule(rows, window, shares), "row")
+    placed = rows.select("row", "doc_id", F.col("n").alias("doc_tokens"), "ids").join(schedule(rows, window, shares).hint("merge"), "row")
 
     def cut(batch):
         names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
