@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-grams of test items seed candidates in training texts, and Smith-Waterman
 alignment of words scores them, so that edited copies are found too.
 
-How rare an item's n-grams are is counted over all documents. Each item keeps the rarest half of its own, by rank and
-not by a limit, so an item that stands in very many documents still has seeds. Items are sent to the tasks in blocks
+How rare an item's n-grams are is counted over all documents. An item's seeds are those that aren't much more frequent
+than its median one, at least half of them: so an item that stands in very many documents still has seeds, and what
+a few edited copies kept isn't held to be common. Items are sent to the tasks in blocks
 of bounded size, and each document is settled where it is read: nothing is joined or shuffled but counts.
 """
 
@@ -19,6 +20,8 @@ from sensorlab.llm.words import ALNUM, LOWER, Lookup, find_words, gram_hash, gra
 
 #: Items that are sent to the tasks together.
 ITEM_BLOCK = 20_000
+#: An n-gram so many times as frequent as its item's median one is no seed.
+COMMON = 8
 MATCH, MISS, GAP = 2, -1, -1
 #: Cells of an alignment step that are held at once.
 CELLS = 400_000
@@ -94,7 +97,7 @@ def choose_seeds(docs: DataFrame, items: list, n: int) -> dict[int, Seeds]:
         for item, (g, s) in enumerate(zip(all_grams, size)):
             if s == m:
                 often = counts[m][np.searchsorted(k, g)]
-                for place in np.argsort(often, kind="stable")[: max(8, -(-len(g) // 2))]:
+                for place in np.flatnonzero(often <= COMMON * (np.median(often) + 1)):
                     entries.append((g[place], item, place))
         hashes_of = np.array([e[0] for e in entries], np.uint64)
         order = np.argsort(hashes_of, kind="stable")

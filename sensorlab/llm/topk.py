@@ -144,8 +144,9 @@ def top_k(vectors: DataFrame, every: int, k: int = 5, scale: float = 256.0, task
             for batch in batches:
                 for size, ids, *parts in zip(*[batch.column(c) for c in INDEX.names]):
                     size = size.as_py()
+                    ids = np.frombuffer(ids.as_buffer(), np.int64)
                     values, high, low = (np.frombuffer(p.as_buffer(), np.float64) for p in parts)
-                    blocks.setdefault(size, []).append((np.frombuffer(ids.as_buffer(), np.int64), values.reshape(-1, size), high, low))
+                    blocks.setdefault(size, []).append((ids, values.reshape(len(ids), size), high, low))
                 if sum(map(len, blocks.values())) * block > 4 * task_rows:
                     yield from answers(sent.value, blocks, k)
                     blocks = {}
