@@ -74,13 +74,26 @@ def slot_levels(docs: DataFrame, words: int) -> np.ndarray:
             "block": pa.array(list(sums), pa.int32()), "counts": pa.array([s.tobytes() for s in sums.values()], pa.binary())})
 
     schema = "block int, counts binary"
-    summed = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect()
-    counts = np.zeros((BLOCKS, (1 << SLOT_BITS) // BLOCKS), np.int64)
-    for row in summed:  # 64 rows of 512 KB whatever the input
-        counts[row["block"]] = np.frombuffer(bytes(row["counts"]), np.int64)
-    counts = counts.ravel()
-    noise = counts.mean() + 6 * np.sqrt(counts.mean()) + 4
-    return np.where(counts > noise, 1 + np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+    summed = staged(docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema), "slots")
+
+    def total(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"total": pa.array([int(np.frombuffer(c.as_buffer(), np.int64).sum()) for c in batch.column("counts")], pa.int64())})
+
+    mean = (summed.select("counts").mapInArrow(total, "total long").agg(F.sum("total")).first()[0] or 0) / (1 << SLOT_BITS)
+    noise = mean + 6 * mean**0.5 + 4
+
+    def level(batches):
+        for batch in batches:
+            for block, counts in zip(batch.column("block"), batch.column("counts")):
+                counts = np.frombuffer(counts.as_buffer(), np.int64)
+                levels = np.where(counts > noise, 1 + np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block.as_py()], pa.int32()), "counts": pa.array([levels.tobytes()], pa.binary())})
+
+    out = np.zeros((BLOCKS, (1 << SLOT_BITS) // BLOCKS), np.uint8)
+    for row in summed.mapInArrow(level, schema).collect():  # 64 rows of 64 KB whatever the input
+        out[row["block"]] = np.frombuffer(bytes(row["counts"]), np.uint8)
+    return out.ravel()
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sensorlab.llm.common import in_batches
-from sensorlab.llm.labels import FIT_ROWS, fold, labelled_sample
+from sensorlab.llm.labels import FIT_ROWS, fitted, fold, labelled_sample
 from sensorlab.llm.words import LOWER, NOT_SPACE, find_words, hash_words, mix, slices, utf8_column
 
 WORD_BITS = 16
@@ -122,7 +122,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int
     """
     length = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     docs = docs.select("doc_id", "text", length.alias("n_chars"))
-    machine = fit(labelled_sample(docs, labels, "quality", fold(parts) != held, fit_rows, ("n_chars",)))
+    machine = fitted(labelled_sample(docs, labels, "quality", fold(parts) != held, fit_rows, ("n_chars",)), fit)
     sent = docs.sparkSession.sparkContext.broadcast(machine)
     shape = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
