@@ -130,17 +130,14 @@ def fill_mode(df: DataFrame, cols) -> DataFrame:
     })
 
 
-def distinct_values(df: DataFrame, col: str, most: int = 1000) -> list:
-    """The distinct values of a column that must not have more than ``most`` of them."""
-    values = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().limit(most + 1).collect()]
-    if len(values) > most:
-        raise ValueError(f"{col} has more than {most} values: use category_codes with OneHotEncoder vectors")
-    return sorted(values)
+def distinct_values(df: DataFrame, col: str) -> list:
+    """The distinct values of a column that is to become one column per value."""
+    return sorted(r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().collect())
 
 
-def one_hot(df: DataFrame, col: str, values=None, most: int = 1000) -> DataFrame:
-    """0/1 column per value. Without ``values`` the distinct ones are fetched, up to ``most``."""
-    values = distinct_values(df, col, most) if values is None else values
+def one_hot(df: DataFrame, col: str, values=None) -> DataFrame:
+    """0/1 column per value. Without ``values`` the distinct ones are fetched, as the schema needs them."""
+    values = distinct_values(df, col) if values is None else values
     flags = {f"{col}_{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)) for v in sorted(values)}
     return df.withColumns(flags).drop(col)
 

@@ -69,7 +69,7 @@ def asof_join(left: DataFrame, right: DataFrame, tolerance: str = "1 minute", on
         *by, ts.alias("_ts"), F.lit(0).alias("_side"), F.struct(ts.alias("_at"), *values).alias("_r"))
     bucket = floor_div(F.col("_ts"), width)
     rows = known.withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))).unionByName(moments.withColumn("_bucket", bucket))
-    order = Window.partitionBy(*by, "_bucket").orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*by, "_bucket").orderBy("_ts", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
     matched = (
         rows.withColumn("_m", F.last("_r", True).over(order)).filter("_side = 1")
         .withColumn("_m", F.when(F.col("_ts") - F.col("_m._at") <= width, F.col("_m")))

@@ -80,7 +80,7 @@ def prepare(df: DataFrame, keys=KEYS, time: str = TIME, encode=("zone", "device_
     given = [c for c in numeric if c in df.columns]
     if given:
         out = fill(out, lambda c: F.coalesce(linear(c, both=True), F.lit(0.0)), given, keys, time, chunk)
-    text = [n for n, t in out.dtypes if t == "string" and n not in ("house", time)]
+    text = [n for n, t in out.dtypes if t == "string" and n not in ("house", "_row_text", time)]  # a row's key has no mode worth its pass
     out = fill_mode(stage(out), text)
     if "house" not in encode:
         out = out.drop("house")

@@ -65,7 +65,7 @@ def fill_tiered(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, short
         from sensorlab.operators import patterns
 
         for c in cols:
-            values = patterns.long_gap_values(df, c, long_gap, medium, keys, time, env or (), chunk=chunk)
+            values = patterns.long_gap_values(df, c, long_gap, medium, keys, time, env or (), chunk=chunk, order=cols)
             out = out.join(values.withColumnRenamed("value", "_long"), [*keys, "_rn"], "left").withColumn(
                 c, F.coalesce(c, "_long")).drop("_long")
     return drop_neighbours(out, cols).select(*df.columns)

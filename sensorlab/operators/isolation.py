@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from sensorlab.functions.draws import uniform
-from sensorlab.functions.groups import attach, lookup, quantile_columns
+from sensorlab.functions.groups import attach, quantile_columns
+from sensorlab.session import stage
 
-MOST_GROUPS = 500
+#: Groups whose forests are sent to the tasks together.
+FOREST_GROUPS = 50
 
 
 def average_path(n):
@@ -83,7 +85,7 @@ def isolation_scores(df: DataFrame, features, key, by=(), trees: int = 100, samp
     drawn = Window.partitionBy("_group").orderBy(uniform(F.col("_key"), "pool", seed), "_key")
     pool = out.select("_group", "_key", "_x").withColumn("_r", F.row_number().over(drawn)).filter(F.col("_r") <= most)
     sizes = pool.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    pool = pool.join(lookup(sizes, MOST_GROUPS), "_group").withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    pool = pool.join(sizes, "_group").withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     draw = F.pmod(F.xxhash64("_key", "_tree", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     pool = pool.withColumn("_u", draw).filter(F.col("_u") < 2.0 * sample / F.col("_n"))
     order = Window.partitionBy("_group", "_tree").orderBy("_u", "_key")
@@ -96,27 +98,35 @@ def isolation_scores(df: DataFrame, features, key, by=(), trees: int = 100, samp
         tree = grow(np.stack(rows["_x"].to_numpy()), rng)
         return pd.DataFrame({"_group": [rows["_group"].iloc[0]], "n": [len(rows)], **{k: [v] for k, v in tree.items()}})
 
-    planted = pool.groupBy("_group", "_tree").applyInPandas(plant, schema)
-    # The forests go to every task: trees * (2 * sample - 1) nodes per group, and a bounded number of groups.
-    fetched = planted.limit(MOST_GROUPS * trees + 1).collect()
-    if len(fetched) > MOST_GROUPS * trees:
-        raise ValueError(f"more than {MOST_GROUPS} groups: fit fewer groups at a time")
+    planted = stage(pool.groupBy("_group", "_tree").applyInPandas(plant, schema))
+    names = sorted(r["_group"] for r in planted.select("_group").distinct().collect())
+    scored = None
+    # Each broadcast holds the forests of up to FOREST_GROUPS groups: trees * (2 * sample - 1) nodes a group.
+    for first in range(0, max(len(names), 1), FOREST_GROUPS):
+        some = names[first:first + FOREST_GROUPS]
+        part = _with_scores(out, planted, some) if len(names) <= FOREST_GROUPS else _with_scores(out.filter(F.col("_group").isin(some)), planted, some)
+        scored = part if scored is None else scored.unionByName(part)
+    return scored.drop("_key", "_x", "_group")
+
+
+def _with_scores(rows: DataFrame, planted: DataFrame, names: list) -> DataFrame:
+    """Scores of the rows of some groups by their forests."""
     forests = {}
-    for row in fetched:
+    for row in planted.filter(F.col("_group").isin(names)).collect():
         size, forest = forests.setdefault(row["_group"], (row["n"], []))
         forest.append({k: row[k] for k in ("feature", "threshold", "left", "right")})
-    shared = df.sparkSession.sparkContext.broadcast(forests)
+    shared = rows.sparkSession.sparkContext.broadcast(forests)
 
     @pandas_udf(T.DoubleType())
     def score(group: pd.Series, x: pd.Series) -> pd.Series:
         result = np.zeros(len(x))
         for name in group.unique():
-            rows = np.flatnonzero((group == name).to_numpy())
+            at = np.flatnonzero((group == name).to_numpy())
             size, forest = shared.value[name]
-            result[rows] = anomaly_score(np.stack(x.to_numpy()[rows]), forest, size)
+            result[at] = anomaly_score(np.stack(x.to_numpy()[at]), forest, size)
         return pd.Series(result)
 
-    return out.withColumn("score", score("_group", "_x")).drop("_key", "_x", "_group")
+    return rows.withColumn("score", score("_group", "_x"))
 
 
 def isolation_labels(df: DataFrame, features, key, out: str, by=(), contamination: float = 0.001, **options) -> DataFrame:

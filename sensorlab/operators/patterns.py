@@ -13,13 +13,13 @@ CONTEXT = 1440
 MIN_ROWS = 10
 
 
-def long_gap_rows(df: DataFrame, c: str, longer_than: str = "2 days", keys=KEYS, time: str = TIME, chunk: str = CHUNK) -> DataFrame:
+def long_gap_rows(df: DataFrame, c: str, longer_than: str = "2 days", keys=KEYS, time: str = TIME, chunk: str = CHUNK, order=None) -> DataFrame:
     """Missing rows of gaps longer than ``longer_than``: gap number, index in the gap, values at its edges.
 
     ``_gap`` is the position of the last valid row before the gap (0 for a leading gap); ``_curve`` is
     the cubic fill used where a series offers nothing better.
     """
-    near = neighbours(df, [c], keys, time, chunk)
+    near = neighbours(df, [c], keys, time, chunk, order)
     return near.filter(F.col(c).isNull() & (gap_end(c) - gap_start(c) > span_micros(longer_than))).select(
         *keys, time, "_rn", F.coalesce(f"_{c}_p.rn", F.lit(0)).alias("_gap"),
         (F.col("_rn") - F.coalesce(f"_{c}_p.rn", F.lit(0)) - 1).alias("_i"),
@@ -145,16 +145,18 @@ def rebase_trend(rows: DataFrame, keys=KEYS, threshold: float = 0.01) -> DataFra
 
 
 def long_gap_values(df: DataFrame, c: str, how: str = "pattern", longer_than: str = "2 days", keys=KEYS, time: str = TIME,
-                    env=(), context_rows: int = CONTEXT, top: int = 3, wrap: bool = False, chunk: str = CHUNK) -> DataFrame:
+                    env=(), context_rows: int = CONTEXT, top: int = 3, wrap: bool = False, chunk: str = CHUNK, order=None) -> DataFrame:
     """Values for the rows of long gaps: ``keys, _rn, value``.
 
+    ``order`` are the columns that order rows of one time in ``_rn``, by default the measure alone.
+
     "pattern" averages the most similar hours per minute, weighted by 1 / (score + 0.1), rebases them
     on the trend across the gap and smooths; a gap filled with a constant for more than half its rows
     takes its seasonal profile instead. "seasonal" uses the profile throughout.
     """
     keys, env, group = list(keys), [e for e in env if e in df.columns], [*keys, "_gap"]
     # Both are read many times below.
-    rows = stage(long_gap_rows(df, c, longer_than, keys, time, chunk))
+    rows = stage(long_gap_rows(df, c, longer_than, keys, time, chunk, order))
     seasonal = smooth(seasonal_profile(rows, df, c, keys, time).filter("value IS NOT NULL"), "value", group, "_i")
     if how == "seasonal":
         return seasonal.select(*keys, "_rn", "value")

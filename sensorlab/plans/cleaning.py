@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from sensorlab.functions.draws import key_text, uniform
+from sensorlab.functions.groups import quantiles
 from sensorlab.operators import outliers
 from sensorlab.operators.isolation import isolation_labels
 from sensorlab.operators.models import classify, train_classifier
@@ -30,25 +31,26 @@ def label(df: DataFrame, cols=MEASURES, by=("zone", "period"), forest: dict = No
 def learn(df: DataFrame, cols=MEASURES, time: str = TIME, seed: int = 42, **training) -> DataFrame:
     """Per period and measure, train on four fifths of the labels and replace the label by the prediction.
 
-    Periods are at most 53, so the loop over their models is bounded; each training is distributed. A
-    period of a single class keeps its labels.
+    The loop runs over the periods there are; each training is distributed. Null inputs take their period's median.
+    A period of a single class keeps its labels, and rows without a period keep theirs.
     """
     table = stage(df.withColumn("_train", uniform(key_text(KEYS, time), "split", seed) < 0.8))
-    periods = sorted(r[0] for r in table.select("period").distinct().limit(400).collect())
-    out = None
+    periods = sorted(r[0] for r in table.select("period").filter("period IS NOT NULL").distinct().collect())
+    inputs_of = sorted({n for c in cols for n in model_inputs(c)})
+    middle = {(r["period"], r["measure"]): r["value"] for r in quantiles(table, inputs_of, [0.5], ["period"]).collect()}
+    out = table.filter("period IS NULL").select(*df.columns)
     for p in periods:
         part = table.filter(F.col("period") == p)
         for c in cols:
             names, flag = model_inputs(c), outliers.flag(c)
-            complete = {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names}
+            complete = {n: F.coalesce(F.col(n).cast("double"), F.lit(middle.get((p, n), 0.0))) for n in names}
             model = train_classifier(part.filter("_train").select(*[v.alias(n) for n, v in complete.items()], flag), names, flag, seed=seed, **training)
             if model is not None:
                 inputs = part.withColumns({f"_{n}": F.col(n) for n in names}).withColumns(complete)
                 scored = classify(inputs, model).drop("score", "_label", "_weight")
                 part = scored.withColumn(flag, F.col("predicted")).drop("predicted").withColumns(
                     {n: F.col(f"_{n}") for n in names}).drop(*[f"_{n}" for n in names])
-        part = part.select(*df.columns)
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(part.select(*df.columns))
     return out
 
 

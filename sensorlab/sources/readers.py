@@ -37,7 +37,6 @@ def read_feed_groups(spark: SparkSession, groups: dict) -> dict:
     for measure in ("humidity", "temperature"):
         files = [(zone, period, parts[measure]) for zone, periods in groups.items() for period, parts in periods.items()]
         feed = read_feed(spark, [path for _, _, path in files], measure)
-        name = lambda path: F.substring_index(F.lit(path) if isinstance(path, str) else path, "/", -1)
         labels = F.array(*[F.struct(
             F.lit(path).alias("path"), F.lit(zone).alias("zone"), F.lit(str(period)).alias("period")) for zone, period, path in files])
         match = F.filter(labels, lambda f: F.url_decode(F.col("path")).endswith(f["path"]))[0]

@@ -175,3 +175,12 @@ def test_plain_window_over_a_series_never_appears(series):
     for line in plan.splitlines():
         if "Window [last(" in line and "_p" in line:
             assert "_chunk" in line
+
+
+def test_long_gaps_with_repeated_times(spark, series):
+    """Rows of one time keep their own fills: the numbering is the same for the tiers and the long gaps."""
+    rows = [(5 * k, None if 4 <= k < 34 else 20.0 + k % 7, None if k % 9 == 0 else 50.0 - k % 5) for k in range(80)]
+    rows.append((25, 3.0, 40.0))
+    table = series(rows + [(30, None, 41.0)])
+    out = fills.fill_tiered(table, short="10 minutes", medium="20 minutes", long_gap="seasonal")
+    assert out.count() == 82 and out.filter("temperature IS NULL").count() == 0
