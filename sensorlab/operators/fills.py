@@ -77,10 +77,10 @@ def fill_knn_measure(df: DataFrame, cols=MEASURES, k: int = 60, by=()) -> DataFr
     return knn.fill_knn(df, cols, k, by)
 
 
-def fill_arima(df: DataFrame, cols=MEASURES, keys=KEYS, history: int = 200) -> DataFrame:
+def fill_arima(df: DataFrame, cols=MEASURES, keys=KEYS) -> DataFrame:
     from sensorlab.operators import arima
 
-    return arima.fill_arima(df, cols, keys, history=history)
+    return arima.fill_arima(df, cols, keys)
 
 
 METHODS = {

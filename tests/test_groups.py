@@ -118,11 +118,45 @@ def test_only_outliers_in_a_cell_fall_back(spark):
 
 def test_arima_follows_a_trend_and_leaves_leading_gaps(series):
     rows = [(0, None)] + [(i, 2.0 * i + 0.01 * (i % 3)) for i in range(1, 40)] + [(40, None), (41, None), (42, 90.0)]
-    got = [r["temperature"] for r in arima.fill_arima(series(rows), ["temperature"], history=20).orderBy("time").collect()]
+    got = [r["temperature"] for r in arima.fill_arima(series(rows), ["temperature"]).orderBy("time").collect()]
     assert got[0] is None and got[40] == got[41] and 78 < got[40] < 84
     assert arima.forecast_next(np.array([3.0, 3.0, 3.0, 3.0, 3.0])) == 3.0
 
 
+def plain_forecast(values):
+    """Residuals of all pairs by their definition, from the first to the last value; the squared sum is a parabola in phi."""
+    d, phi, theta = np.diff(values), np.array([-0.9, 0.0, 0.9])[:, None], arima.THETAS[None, :]
+
+    def residuals(phi):
+        e = total = np.zeros((len(phi), theta.shape[1]))
+        for before, now in zip(d[:-1], d[1:]):
+            e = now - phi * before - theta * e
+            total = total + e * e
+        return total, e
+
+    low, middle, high = residuals(phi)[0]
+    bend, slope = (low + high - 2 * middle) / 1.62, (high - low) / 1.8
+    best_phi = np.clip(-slope / (2 * bend), -0.99, 0.99)[None, :]
+    total, e = residuals(best_phi)
+    k = int(total[0].argmin())
+    return values[-1] + best_phi[0, k] * d[-1] + theta[0, k] * e[0, k]
+
+
+def test_arima_rests_on_the_whole_history(series):
+    rng = np.random.default_rng(3)
+    noise = rng.normal(size=5200)
+    d = np.zeros(5200)
+    for t in range(1, 5200):
+        d[t] = 0.6 * d[t - 1] + noise[t] + 0.3 * noise[t - 1]
+    values, gaps = np.cumsum(d), {700, 1500, 1501, 3001, 5199}
+    rows = [(i, None if i in gaps else values[i]) for i in range(5200)]
+    df = series(rows)
+    for options in ({}, {"block": 1500, "warm": 1500, "chunk": "1 day"}):
+        got = [r["temperature"] for r in arima.fill_arima(df, ["temperature"], **options).orderBy("time").collect()]
+        for gap in sorted(gaps):
+            assert got[gap] == pytest.approx(plain_forecast(np.array([v for i, v in rows[:gap] if v is not None])), rel=1e-4)
+
+
 def test_similar_hours_relax_the_month(spark):
     keys = "zone string, device_id bigint, house string"
     patterns_in = spark.sql("""SELECT 'z' AS zone, 1L AS device_id, 'h' AS house, date, 5 AS hour, n, CAST(date AS TIMESTAMP_NTZ) + INTERVAL 5 HOUR AS first,
