@@ -8,6 +8,7 @@ from sensorlab.checks.registry import (
 )
 from sensorlab.functions import calendar, missing
 from sensorlab.operators import align, fills, gaps, ordered
+from sensorlab.sources import readers
 
 STEP = "15 minutes"
 readings, weather, feed = fixtures.readings, fixtures.weather, fixtures.feed
@@ -197,7 +198,7 @@ def period_labels(spark, d):
 def parse_time(spark, d):
     events = spark.read.parquet(f"{d}/events.parquet")
     text = events.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("text"))
-    return text.select("event_id", F.to_timestamp_ntz("text", F.lit("yyyy-MM-dd HH:mm:ss")).alias("time"))
+    return text.select("event_id", readers.parse_time("text").alias("time"))
 
 
 @query(f"WITH {CLEAN} SELECT * FROM clean")

@@ -160,31 +160,36 @@ def distribution(spark, d):
     return rounded(evaluate.distribution(before_after(spark, d), width=5.0))
 
 
-@query(f"""WITH {READINGS}, l AS (SELECT *, CASE WHEN day(time) <= 15 AND device_id <> 5 THEN 'reference' WHEN day(time) > 15 THEN 'target' END AS label FROM readings)
+@query(f"""WITH {READINGS}, l AS (SELECT *, CASE WHEN day(time) <= 15 AND device_id <> 5 THEN 'reference' ELSE 'target' END AS label FROM readings)
 SELECT * FROM l WHERE label IS NOT NULL AND (zone, device_id, house) IN (
   SELECT ({K}) FROM l WHERE label = 'reference' INTERSECT SELECT ({K}) FROM l WHERE label = 'target')""")
 def period_overlay(spark, d):
     day = F.dayofmonth("time")
-    return evaluate.period_overlay(fixtures.readings(spark, d), (day <= 15) & (F.col("device_id") != 5), day > 15)
+    return evaluate.period_overlay(fixtures.readings(spark, d), (day <= 15) & (F.col("device_id") != 5), (day > 15) | (F.col("device_id") == 5))
 
 
-@query(f"WITH {READINGS} SELECT *, 'target' AS label FROM readings LIMIT 0")
+@query(f"""WITH {READINGS},
+moved AS (SELECT * REPLACE (CASE WHEN day(time) <= 15 AND device_id <> 5 THEN time - INTERVAL 1 YEAR ELSE time END AS time) FROM readings),
+named AS (SELECT *, CASE year(time) WHEN 2023 THEN 'reference' WHEN 2024 THEN 'target' END AS label FROM moved WHERE month(time) = 1 AND year(time) IN (2023, 2024))
+SELECT * FROM named SEMI JOIN (SELECT {K} FROM named GROUP BY {K} HAVING count(DISTINCT label) = 2) USING ({K})""")
 def year_overlay(spark, d):
-    # The tables span one month, so the reference year is empty and no series has both.
-    return evaluate.year_overlay(fixtures.readings(spark, d), 1, 2023, 2024)
+    # The first half of the month goes to the year before; one series stays in a single year.
+    moved = (F.dayofmonth("time") <= 15) & (F.col("device_id") != 5)
+    readings = fixtures.readings(spark, d).withColumn("time", F.when(moved, F.col("time") - F.expr("INTERVAL 1 YEAR")).otherwise(F.col("time")))
+    return evaluate.year_overlay(readings, 1, 2023, 2024)
 
 
-# --- scoring: linear fill scored against the kept values; signups scored by value --------------
+# --- scoring: linear fill scored against the kept values; events scored by value --------------
 
 def _scored(spark, d):
-    events = spark.read.parquet(f"{d}/events.parquet").filter("event_type IN ('signup', 'purchase', 'view')")
+    events = spark.read.parquet(f"{d}/events.parquet")
     return events.select(
         "event_type", F.lit("value").alias("model"), (F.col("event_id") % 7 < 3).cast("int").alias("label"),
         (F.col("value") > 40).cast("int").alias("predicted"), F.col("value").alias("score"))
 
 
 _SCORED = """s AS (SELECT event_type, 'value' AS model, CAST(event_id % 7 < 3 AS INTEGER) AS label,
- CAST(value > 40 AS INTEGER) AS predicted, value AS score FROM events WHERE event_type IN ('signup', 'purchase', 'view'))"""
+ CAST(value > 40 AS INTEGER) AS predicted, value AS score FROM events)"""
 
 
 @query(f"""WITH {_SCORED}, c AS (SELECT event_type, count(*) FILTER (WHERE label = 1 AND predicted = 1) AS tp, count(*) FILTER (WHERE label = 0 AND predicted = 1) AS fp,

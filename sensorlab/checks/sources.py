@@ -1,6 +1,9 @@
 """Queries that pass the tables through the readers and writers."""
 
-from pyspark.sql import functions as F
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Window, functions as F
 
 from sensorlab import fixtures
 from sensorlab.checks.align import ASOF, _FEEDS
@@ -31,6 +34,36 @@ def json_feeds(spark, d):
     return align.measure_merge(feeds["humidity"], feeds["temperature"])
 
 
+@query(f"""WITH {_FEEDS}
+SELECT zone, CAST(day(time) AS VARCHAR) AS period, CAST(device_id AS VARCHAR) AS device_id, house, time, 'humidity' AS measure, humidity AS value FROM h
+UNION ALL SELECT zone, CAST(day(time) AS VARCHAR), CAST(device_id AS VARCHAR), house, time, 'temperature', temperature FROM t""")
+def feed_groups(spark, d):
+    """A file for each zone, day and measure."""
+    folder, groups, out = scratch(spark, "groups"), {}, None
+    for measure in ("humidity", "temperature"):
+        _documents(fixtures.feed(spark, d, measure), measure, f"{folder}/{measure}")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(f"{folder}/{measure}")
+        for (path,) in files.select("path").collect():
+            name = unquote(path)
+            zone, day = re.search(r"zone=([^/]+)/day=(\d+)/", name).groups()
+            groups.setdefault(unquote(zone), {}).setdefault(int(day), {})[measure] = path
+    for measure, feed in readers.read_feed_groups(spark, groups).items():
+        part = feed.select("zone", "period", "device_id", "house", "time", F.lit(measure).alias("measure"), F.col(measure).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"WITH {READINGS} SELECT zone, count(*) AS \"rows\", count(*) AS in_order FROM readings GROUP BY zone")
+def sorted_files(spark, d):
+    """How many rows of the written files stand where the order by series and time puts them."""
+    path = scratch(spark, "sorted")
+    writers.write_table(fixtures.readings(spark, d), path, "parquet")
+    rows = spark.read.parquet(path).select("zone", "device_id", "house", "time", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("zone", "device_id", "house", "time"))
+    return rows.withColumn("place", place).groupBy("zone").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("at") + 1 == F.col("place")).alias("in_order"))
+
+
 @query(f"WITH {WEATHER} SELECT time, GHI, Tair, RH, WS FROM weather")
 def weather_source(spark, d):
     raw = fixtures.weather(spark, d).withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss")).withColumnsRenamed(

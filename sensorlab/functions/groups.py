@@ -2,20 +2,17 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-LOOKUP_ROWS = 100_000
+from sensorlab.session import stage
 
 
-def lookup(small: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Make a small table's size known to the planner.
+def lookup(small: DataFrame) -> DataFrame:
+    """Make a grouped table's size known to the planner.
 
-    At most ``rows`` rows are fetched. A table within the bound comes back as a local relation,
-    which Catalyst broadcasts on its exact size; a larger one is returned as it was and joins by
-    shuffle, where adaptive execution splits skewed keys.
+    It is computed once, written, and read back: Catalyst broadcasts it where its bytes are below
+    ``autoBroadcastJoinThreshold`` and joins by shuffle beyond, where adaptive execution splits skewed keys.
+    Nothing goes through the driver.
     """
-    fetched = small.limit(rows + 1).toArrow()
-    if fetched.num_rows > rows:
-        return small
-    return small.sparkSession.createDataFrame(fetched, small.schema)
+    return stage(small)
 
 
 def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:

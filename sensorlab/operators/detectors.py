@@ -24,7 +24,7 @@ from sensorlab.session import stage
 NUMERIC = ["outside_temperature", "outside_humidity", "BP", "WS", "WD_Avg", "WSgust_Max", "Rain_mm_Tot",
            "hour", "day_of_week", "month", "day"]
 
-# The full search grids. The default grid of a detector is smaller.
+# The search grids.
 BOOSTED_GRID = {
     "maxIter": [50, 100, 200, 300],
     "stepSize": [0.01, 0.02, 0.05],
@@ -105,7 +105,7 @@ class BoostedTrees:
     name = "boosted_trees"
 
     def __init__(self, grid: dict = None, folds: int = 5, parallelism: int = 4, seed: int = 42):
-        self.grid = grid or {"maxIter": [50], "maxDepth": [4, 6]}
+        self.grid = grid or BOOSTED_GRID
         self.folds, self.parallelism, self.seed, self.model = folds, parallelism, seed, None
 
     def fit(self, df, features, label="anomaly"):

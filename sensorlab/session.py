@@ -36,12 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: written as Parquet in the shared folder and read back, so later reads prune columns and know sizes."""
+    path = scratch(df.sparkSession, "stage")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

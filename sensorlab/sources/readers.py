@@ -1,5 +1,6 @@
 """Reading raw feeds, weather tables and processed tables."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,15 +32,18 @@ def read_feed(spark: SparkSession, paths, measure: str) -> DataFrame:
 def read_feed_groups(spark: SparkSession, groups: dict) -> dict:
     """Feeds of several zones and periods, ``{zone: {period: {measure: path}}}``, one frame per measure.
 
-    All files of a measure are one read; zone and period are looked up by the file's name.
+    All files of a measure are one read; zone and period are looked up by the file's whole name, the longest that fits.
     """
+    ending = lambda path: "/" + re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path).removeprefix("./").lstrip("/")
     out = {}
     for measure in ("humidity", "temperature"):
         files = [(zone, period, parts[measure]) for zone, periods in groups.items() for period, parts in periods.items()]
         feed = read_feed(spark, [path for _, _, path in files], measure)
         labels = F.array(*[F.struct(
-            F.lit(path).alias("path"), F.lit(zone).alias("zone"), F.lit(str(period)).alias("period")) for zone, period, path in files])
-        match = F.filter(labels, lambda f: F.url_decode(F.col("path")).endswith(f["path"]))[0]
+            F.lit(ending(path)).alias("path"), F.lit(zone).alias("zone"), F.lit(str(period)).alias("period"))
+            for zone, period, path in sorted(files, key=lambda f: -len(ending(f[2])))])
+        decoded = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+        match = F.filter(labels, lambda f: decoded.endswith(f["path"]))[0]
         out[measure] = feed.withColumns({"zone": match["zone"], "period": match["period"]}).drop("path")
     return out
 

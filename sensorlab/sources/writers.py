@@ -10,9 +10,8 @@ def write_table(df: DataFrame, path: str, format: str = "csv", partition_by=("zo
     order = [c for c in sort if c in df.columns]
     parts = [c for c in partition_by if c in df.columns]
     if parts:
-        # By zone and day, so that one large zone is written by many tasks.
-        spread = [*parts, *([F.to_date(TIME)] if TIME in df.columns else [])]
-        df = df.repartition(*spread)
+        # Adaptive execution splits what is large, so that one large zone or day is written by many tasks.
+        df = df.hint("rebalance", *[F.col(c) for c in parts])
     writer = df.sortWithinPartitions(*[*parts, *[c for c in order if c not in parts]]).write.mode("overwrite")
     writer = writer.partitionBy(*parts) if parts else writer
     if format == "csv":
