@@ -110,7 +110,7 @@ def similar_hours(hours: DataFrame, patterns: DataFrame, env=(), keys=KEYS, cont
               .when(rows(around) >= MIN_ROWS, around).otherwise(F.map_keys("_supply")))
     wanted = wanted.withColumn("month", F.explode(months)).drop("_supply", "_month")
     pairs = wanted.join(patterns.select(
-        *keys, "hour", "month", F.col("n").alias("_cn"), F.col("first").alias("_cfirst"), "minutes",
+        *keys, "hour", "month", F.col("n").alias("_cn"), F.col("first").alias("_cfirst"),
         *[F.col(e).alias(f"_{e}") for e in env]), [*keys, "hour", "month"])
     pairs = pairs.filter(F.col("_cn") >= F.col("n") / 2)
 
@@ -127,8 +127,11 @@ def similar_hours(hours: DataFrame, patterns: DataFrame, env=(), keys=KEYS, cont
         score = near + weekdays * 2
     pairs = pairs.withColumn("score", F.round(score, 9))
     best = Window.partitionBy(*keys, "_gap", "date", "hour").orderBy("score", "_cfirst")
-    return pairs.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= top).select(
-        *keys, "_gap", "date", "hour", "nth", "score", "_cfirst", "minutes")
+    chosen = pairs.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= top).select(
+        *keys, "_gap", "date", "hour", "nth", "score", "_cfirst")
+    # Only the chosen hours carry their minutes.
+    minutes = patterns.select(*keys, "hour", F.col("first").alias("_cfirst"), "minutes")
+    return chosen.join(minutes, [*keys, "hour", "_cfirst"]).select(*keys, "_gap", "date", "hour", "nth", "score", "_cfirst", "minutes")
 
 
 def rebase_trend(rows: DataFrame, keys=KEYS, threshold: float = 0.01) -> DataFrame:

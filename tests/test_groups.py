@@ -39,12 +39,25 @@ def test_running_totals(spark, ascending):
         assert (part["n"].cumsum() == part["upto"]).all()
 
 
-def test_category_codes_and_lookup_beyond_its_bound(spark):
+def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "house string")
     got = {r["house"]: r["house_code"] for r in groups.category_codes(df, "house").collect()}
     assert got == {"a": 0, "b": 1, "c": 2, None: -1}
-    big = spark.range(50)
-    assert groups.lookup(big, 10) is big and groups.lookup(big, 50).count() == 50
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_lookup_joins_by_broadcast_or_shuffle(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        small = spark.range(50).selectExpr("id % 5 AS g", "id AS v").groupBy("g").agg(F.sum("v").alias("total"))
+        joined = spark.range(100).selectExpr("id % 6 AS g").join(groups.lookup(small), "g", "left")
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["g"], r["total"]) for r in joined.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {(g, sum(range(g, 50, 5))) for g in range(5)} | {(5, None)}
+    assert "parquet" in plan and "Aggregate" not in plan
 
 
 def test_constant_column(spark, series):
