@@ -296,16 +296,26 @@ def filtered(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def remaining_pairs(lists: DataFrame, members: DataFrame, roots: DataFrame, percent: int, block: int = LIST_BLOCK) -> DataFrame:
     """All pairs of members that share a prefix shingle (or a group), may be similar, and aren't connected yet.
 
-    Pairs are filtered before they leave the task. A list longer than ``block`` is dealt out as pairs of blocks.
+    Pairs are filtered before they leave the task. A list longer than ``block`` is cut into blocks and dealt out as pairs
+    of blocks. Members of the root that has most of a long list need no pairs among themselves, so their
+    blocks only meet those of the others: a family that is already connected costs its size times the few that aren't.
     """
     whole = lists.union(members.select(F.col("grp").alias("token"), "grp"))  # members of one group share its prefix
     rows = whole.join(members.select("grp", "member"), "grp").join(roots.withColumnRenamed("id", "member"), "member", "left")
     rows = rows.select("token", "member", F.coalesce("root", "member").alias("root"))
     # Two groups are paired by the star; a third set or a second member of a group can still be open.
-    open_lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("m >= 3 AND lo <> hi")
-    parts = F.ceil(F.col("m") / block).cast("int")
-    rows = rows.join(open_lists.select("token", parts.alias("parts")), "token").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    counts = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
+    open_lists = counts.groupBy("token").agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("top")).filter("m >= 3 AND top.m < m")
+    cut, most, others = F.col("m") > block, F.col("top.m"), F.col("m") - F.col("top.m")
+    open_lists = open_lists.select(
+        "token", F.col("top.root").alias("top_root"), F.when(cut, F.ceil(most / block)).otherwise(0).cast("int").alias("top_parts"),
+        F.when(cut, F.ceil(others / block)).otherwise(1).cast("int").alias("parts"))
+    rows = rows.join(open_lists, "token").withColumn("in_top", (F.col("root") == F.col("top_root")) & (F.col("top_parts") > 0))
+    spread = F.xxhash64("member")
+    rows = rows.withColumn("part", F.when(F.col("in_top"), F.pmod(spread, F.greatest("top_parts", F.lit(1)))).otherwise(
+        F.col("top_parts") + F.pmod(spread, F.col("parts"))).cast("int"))
+    first = F.when(F.col("in_top"), F.col("top_parts")).otherwise(0)
+    rows = rows.withColumn("other", F.explode(F.sequence(first, F.col("top_parts") + F.col("parts") - 1)))
     rows = rows.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "member", "root")
     rows = rows.join(members.select("member", "n", "sig"), "member")
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")

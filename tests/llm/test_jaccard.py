@@ -44,6 +44,22 @@ def test_blocks_of_long_lists_find_every_pair(spark, docs):
     assert pairs[0] == pairs[1] and len(pairs[0]) > 20
 
 
+def test_connected_families_meet_only_the_rest(spark, docs):
+    """Where most of a long list has one root, its blocks still meet all the others, and no pair of one root comes out."""
+    rows = jaccard.staged(jaccard.document_sets(jaccard.text_only(docs), 5, 80), "sets").filter("member IS NOT NULL")
+    members = rows.dropDuplicates(["grp", "member"])
+    lists = jaccard.shared_shingles(rows, 8)
+    none = spark.createDataFrame([], "id long, root long")
+    every = set(map(tuple, jaccard.remaining_pairs(lists, members, none, 80, 2048).distinct().collect()))
+    ids = sorted(r["member"] for r in members.select("member").distinct().collect())
+    root = {m: ids[0] if k % 4 else m for k, m in enumerate(ids)}
+    roots = spark.createDataFrame(list(root.items()), "id long, root long")
+    want = {(a, b) for a, b in every if root[a] != root[b]}
+    for block in (2048, 7, 3):
+        got = set(map(tuple, jaccard.remaining_pairs(lists, members, roots, 80, block).distinct().collect()))
+        assert got == want and len(want) > 20
+
+
 def test_one_of_each_keeps_columns_and_clean_rows(corpus, docs):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
