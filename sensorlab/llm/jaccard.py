@@ -386,10 +386,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     more = verified(docs, filtered(remaining_pairs(lists, members, roots, percent), members, percent), keys, words, percent)
     if not more.isEmpty():
         roots = components(spark, links.union(more))
-    rows = sets.select("doc_id", "n", "member").join(roots.withColumnRenamed("id", "member"), "member", "left")
-    rows = rows.select("doc_id", "n", F.coalesce("root", "member").alias("root"))
-    smallest = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return rows.join(smallest, "root", "left").select(
+    # A row per set first, so that copies of one text don't meet at their root; staged sides let adaptive execution split what is left.
+    own = full.groupBy("member").agg(F.min("doc_id").alias("first")).join(roots.withColumnRenamed("id", "member"), "member", "left")
+    own = staged(own.select("member", "first", F.coalesce("root", "member").alias("root")), "own")
+    smallest = staged(own.groupBy("root").agg(F.min("first").alias("smallest")), "smallest")
+    of_set = own.join(smallest, "root").select("member", "smallest")
+    return sets.select("doc_id", "n", "member").join(of_set, "member", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
 
 
