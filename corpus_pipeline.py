@@ -23,7 +23,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences of passages that stand elsewhere before."""
-    return spans.dedup_spans(docs).select(docs.columns)
+    return spans.dedup_spans(docs, ends=True).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,7 +107,7 @@ def op4_license_scans(spark, sf_dir):
 
 @query()
 def op5_substring_dedup(spark, sf_dir):
-    return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), ends=True)
 
 
 TOP_SQL = """

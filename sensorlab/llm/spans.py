@@ -2,7 +2,9 @@
 in a run that stands elsewhere before is removed.
 
 A run starts at every sentence and takes as many as needed for ``min_words`` words, at least ``min_sentences`` (or
-one, if it has ``long_words`` alone); so equal passages give equal runs wherever they stand. Each task keeps only its
+one, if it has ``long_words`` alone); so equal passages give equal runs wherever they stand. The queries also send the
+shortest run up to every sentence (``ends``), at most two rows a sentence, which covers repeated passages up to their
+last sentence. Each task keeps only its
 own first place of a run: a later place in the same task is not the first anywhere. So a run of a third of all
 documents costs one row a task.
 """
@@ -28,19 +30,22 @@ def sentences(text: str) -> list[str]:
     return SENTENCE.findall(text)
 
 
-def runs(parts: list[str], min_sentences: int, min_words: int, long_words: int) -> list[tuple[int, int, int]]:
-    """(first sentence, sentences, hash) of the shortest run from each start that is long enough.
+def keyed(parts: list[str]) -> tuple[list[int], list[str], list[int]]:
+    """The sentences that hold words: their places, words and counts.
 
     Words are compared without case, punctuation and white space; sentences without words join the run they stand in.
     """
     words = [WORD.findall(p.lower()) for p in parts]
     full = [i for i, w in enumerate(words) if w]
-    keys = [" ".join(words[i]) for i in full]
-    counts = [len(words[i]) for i in full]
+    return full, [" ".join(words[i]) for i in full], [len(words[i]) for i in full]
+
+
+def shortest(counts: list[int], min_sentences: int, min_words: int, long_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest run from each start that is long enough."""
     out, end, held = [], 0, 0
-    for k in range(len(full)):
+    for k in range(len(counts)):
         end, held = (end, held) if end > k else (k, 0)
-        while end < len(full) and held < long_words and (end - k < min_sentences or held < min_words):
+        while end < len(counts) and held < long_words and (end - k < min_sentences or held < min_words):
             held += counts[end]
             end += 1
         while end - k > min_sentences and held - counts[end - 1] >= min_words or end - k > 1 and held - counts[end - 1] >= long_words:
@@ -48,20 +53,47 @@ def runs(parts: list[str], min_sentences: int, min_words: int, long_words: int)
             held -= counts[end]
         if held < long_words and (end - k < min_sentences or held < min_words):
             break
-        out.append((full[k], full[end - 1] - full[k] + 1, xxhash.xxh3_64_intdigest("\n".join(keys[k:end])) - (1 << 63)))
+        out.append((k, end))
         held -= counts[k]
     return out
 
 
-def repeated_runs(rows: DataFrame, limits: tuple[int, int, int], buckets: int) -> DataFrame:
+def hashed(places: list[tuple[int, int]], full: list[int], keys: list[str]) -> list[tuple[int, int, int]]:
+    """(first sentence, sentences, hash) of runs given as (start, end)."""
+    return [(full[k], full[end - 1] - full[k] + 1, xxhash.xxh3_64_intdigest("\n".join(keys[k:end])) - (1 << 63)) for k, end in places]
+
+
+def runs(parts: list[str], min_sentences: int, min_words: int, long_words: int) -> list[tuple[int, int, int]]:
+    """(first sentence, sentences, hash) of the shortest run from each start that is long enough."""
+    full, keys, counts = keyed(parts)
+    return hashed(shortest(counts, min_sentences, min_words, long_words), full, keys)
+
+
+def runs_both_ways(parts: list[str], min_sentences: int, min_words: int, long_words: int) -> list[tuple[int, int, int]]:
+    """``runs``, and the shortest run up to each end; one that is both comes once.
+
+    Whether a run is shortest from its start or up to its end follows from its own words, so equal runs are sent
+    alike wherever they stand. A repeated passage is covered whole: a sentence from which no long enough run fits into
+    the passage lies in the shortest run up to the passage's end.
+    """
+    full, keys, counts = keyed(parts)
+    n, limits = len(counts), (min_sentences, min_words, long_words)
+    ahead = shortest(counts, *limits)
+    back = [(n - end, n - k) for k, end in shortest(counts[::-1], *limits)]
+    return hashed(list(dict.fromkeys(ahead + back)), full, keys)
+
+
+def repeated_runs(rows: DataFrame, limits: tuple[int, int, int], buckets: int, ends: bool = False) -> DataFrame:
     """(row, first, size): places of runs that aren't the first by (doc_id, row, sentence); null ids come last."""
+    find = runs_both_ways if ends else runs
+
     def scatter(batches):
         local: dict[int, tuple[int, int, int, int]] = {}
         late = ([], [], [])
         for batch in batches:
             for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text")):
                 doc = (1 << 63) - 1 if doc is None else doc
-                for first, size, key in runs(sentences(text.as_py()), *limits):
+                for first, size, key in find(sentences(text.as_py()), *limits):
                     here, kept = (doc, row, first, size), local.get(key)
                     if kept is not None:
                         later = max(here, kept)
@@ -104,11 +136,12 @@ def repeated_runs(rows: DataFrame, limits: tuple[int, int, int], buckets: int) -
     return sent.groupBy("bucket").applyInPandas(settle, "row long, first long, size long")
 
 
-def dedup_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 25, long_words: int = 40) -> DataFrame:
+def dedup_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 25, long_words: int = 40, ends: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with the text that stays, and n_removed (sentences) and removed (the text cut out).
 
-    A sentence goes if it lies in a run of consecutive sentences (see ``runs``) that stands elsewhere before, in the
-    order of doc_id, then of rows. So the first place of a passage stays whole, and a copied document loses all
+    With ``ends`` a sentence goes if it lies in any long enough run of consecutive sentences that stands elsewhere
+    before, in the order of doc_id, then of rows. Without, only the shortest run from each start is compared (see
+    ``runs``), and the last sentences of a repeated passage may stay. So the first place of a passage stays whole, and a copied document loses all
     its runs. Null and empty texts stay as they are; repeated rows are copies; an empty table gives
     no rows; extra columns are kept, but for ones named as the added columns, ``row`` or ``cover``, which are replaced.
     """
@@ -116,7 +149,7 @@ def dedup_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 25, lo
     own = ["row", "cover", "n_removed", "removed"]
     base = docs.drop(*[c for c in docs.columns if c.lower() in own])
     kept = staged(base.withColumn("row", F.monotonically_increasing_id()), "rows")
-    places = repeated_runs(text_only(kept, "row"), (min_sentences, min_words, long_words), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    places = repeated_runs(text_only(kept, "row"), (min_sentences, min_words, long_words), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ends)
     cover = places.groupBy("row").agg(F.collect_set(F.struct("first", "size")).alias("cover"))
     joined, names = kept.join(cover, "row", "left"), base.columns
 

@@ -2,14 +2,16 @@
 
 import math
 import random
+import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 from sensorlab.llm import decontaminate, packing, spans, topk
-from sensorlab.llm.queries import packed_digest
+from sensorlab.llm.queries import QUERIES, packed_digest
 from llm.conftest import edited, prose
 
 PASSAGE = ("Every house by the river keeps a lamp burning through the night. It shows the way to those who walk late under trees. "
@@ -62,6 +64,54 @@ def test_dedup_equals_plain_version(spark):
     assert spans.dedup_spans(docs.limit(0)).count() == 0
 
 
+def every_repeated_run(rows, min_sentences, min_words, long_words):
+    """Per row the text that stays, by comparing every long enough run of sentences, of any length."""
+    seen, out = set(), []
+    for text in rows:
+        parts = spans.sentences(text)
+        words = [tuple(re.findall(r"\w+", p.lower())) for p in parts]
+        full, gone = [i for i, w in enumerate(words) if w], set()
+        for a in range(len(full)):
+            for b in range(a + 1, len(full) + 1):
+                run = tuple(words[i] for i in full[a:b])
+                held = sum(map(len, run))
+                if held < long_words and (b - a < min_sentences or held < min_words):
+                    continue
+                if run in seen:
+                    gone |= set(range(full[a], full[b - 1] + 1))
+                seen.add(run)
+        out.append("".join(p for k, p in enumerate(parts) if k not in gone))
+    return out
+
+
+def test_dedup_takes_repeated_passages_whole(spark):
+    rng = random.Random(17)
+    line = lambda n: " ".join("w%d" % rng.randrange(10 ** 9) for _ in range(n)) + "."
+    texts = []
+    for sizes in ((30, 12, 12), (45, 6), (12, 12, 30), (6, 45), (9, 8, 7, 6, 5), (24, 1), (12, 12)):
+        passage = " ".join(map(line, sizes))
+        texts += [f"{line(7)} {passage} {line(20)}", f"{line(20)} {passage} {line(3)} {line(30)}", f"{passage}\n...\n{line(9)}"]
+    pool = [line(n) for n in (2, 3, 5, 8, 12, 13, 24, 26, 39, 41)]
+    texts += [" ".join(rng.choice(pool) if rng.random() < 0.8 else line(rng.randrange(1, 30)) for _ in range(rng.randrange(1, 12))) for _ in range(120)]
+    want = every_repeated_run(texts, 2, 25, 40)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 5):
+        got = spans.dedup_spans(docs.repartition(parts), ends=True).orderBy("doc_id").collect()
+        assert [r["text"] for r in got] == want
+    short = [r["text"] for r in spans.dedup_spans(docs).orderBy("doc_id").collect()]
+    assert sum(map(len, short)) > sum(map(len, want))
+
+
+def test_op5_and_the_pipeline_take_passages_whole(spark, tmp_path):
+    line = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n)) + "."
+    passage = f"{line(0, 30)} {line(1, 12)} {line(2, 12)}"
+    rows = [(1, f"{line(3, 9)} {passage} {line(4, 20)}"), (2, f"{line(5, 9)} {passage} {line(6, 20)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (QUERIES["op5_substring_dedup"](spark, str(tmp_path)), corpus_pipeline.cut_repeats(spark, docs, str(tmp_path))):
+        assert [r["text"] for r in got.orderBy("doc_id").collect()] == [rows[0][1], f"{line(5, 9)} {line(6, 20)}"]
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng = random.Random(8)
     pairs = [([rng.randrange(5) for _ in range(rng.randrange(1, 20))], [rng.randrange(5) for _ in range(rng.randrange(1, 12))]) for _ in range(200)]
