@@ -156,6 +156,12 @@ def profiles(spark, d):
         F.round(F.stddev_pop("temperature") + 1e-9, 3).alias("ts"), F.round(F.stddev_pop("humidity") + 1e-9, 3).alias("hs"))
 
 
+def sensor_rows(spark, d):
+    """Every reading with its weather, without gaps, keyed by series and time."""
+    table = sensor_table(spark, d).withColumn("row", key_text(KEYS, "time"))
+    return ordered.fill(table, lambda c: F.coalesce(ordered.linear(c, both=True), F.lit(0.0)), COLUMNS)
+
+
 _D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PROFILE)
 
 
@@ -164,9 +170,19 @@ _D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PROFILE)
 kd AS (SELECT r, max(d) AS k FROM nn GROUP BY r), lrd AS (SELECT nn.r, 1 / (avg(greatest(d, k)) + 1e-10) AS l FROM nn JOIN kd ON kd.r = nn.n GROUP BY nn.r)
 SELECT nn.r AS "row", {rnd('avg(o.l) / min(s.l)')} AS lof FROM nn JOIN lrd o ON o.r = nn.n JOIN lrd s ON s.r = nn.r GROUP BY nn.r""")
 def lof_scores(spark, d):
-    train = stage(profiles(spark, d)).withColumnRenamed("row", "_row")
+    return _train_lof(profiles(spark, d), PROFILE)
+
+
+# The queries on profiles are small forms that SQL can follow; those on rows take every reading.
+@query()
+def lof_scores_rows(spark, d):
+    return _train_lof(sensor_rows(spark, d), COLUMNS)
+
+
+def _train_lof(table, features):
     from sensorlab.operators.knn import knn_join
-    near = knn_join(train.withColumnRenamed("_row", "_target"), train, PROFILE, 11, ["_target"], "_row").filter("_row <> _target")
+    train = stage(table.select(F.col("row").alias("_row"), *features))
+    near = knn_join(train.withColumnRenamed("_row", "_target"), train, features, 11, ["_target"], "_row").filter("_row <> _target")
     near = stage(near.withColumn("nth", F.row_number().over(detectors._nearest("_target", "_row"))).filter("nth <= 10"))
     factor = detectors.LocalOutlierFactor._train_factors(near, 10)[2]
     return rounded(factor.select(F.col("_target").alias("row"), "lof"))
@@ -175,23 +191,32 @@ def lof_scores(spark, d):
 @query(f"""{_PROFILE} SELECT a."row" AS "row", b."row" AS neighbour, {rnd(f'sqrt(round({_D2}, 9))')} AS distance,
  CAST(row_number() OVER (PARTITION BY a."row" ORDER BY round({_D2}, 9), b."row") AS INTEGER) AS nth FROM p a JOIN p b ON TRUE QUALIFY nth <= 5""")
 def knn_join(spark, d):
+    return _self_join(profiles(spark, d), PROFILE)
+
+
+@query()
+def knn_join_rows(spark, d):
+    return _self_join(sensor_rows(spark, d), COLUMNS)
+
+
+def _self_join(table, features):
     from sensorlab.operators import knn
-    table = stage(profiles(spark, d))
-    out = knn.knn_join(table, table.withColumnRenamed("row", "neighbour"), PROFILE, 5, ["row"], "neighbour")
+    table = stage(table.select("row", *features))
+    out = knn.knn_join(table, table.withColumnRenamed("row", "neighbour"), features, 5, ["row"], "neighbour")
     return rounded(out.select("row", "neighbour", "distance", "nth"))
 
 
 @query()
 def lof_detector(spark, d):
-    table = stage(profiles(spark, d))
-    detector = detectors.LocalOutlierFactor({"n_neighbors": [10, 20], "contamination": [0.1]}).fit(table, PROFILE)
+    table = stage(sensor_rows(spark, d))
+    detector = detectors.LocalOutlierFactor().fit(table, COLUMNS)
     return rounded(detectors.probability(detector.score(table)).select("row", "score", "predicted", "probability"))
 
 
 @query()
 def reconstruction_detector(spark, d):
-    table = stage(profiles(spark, d))
-    detector = detectors.Reconstruction((1, 2, 3)).fit(table, PROFILE)
+    table = stage(sensor_rows(spark, d))
+    detector = detectors.Reconstruction().fit(table, COLUMNS)
     return rounded(detectors.probability(detector.score(table)).select("row", "score", "predicted", "probability"))
 
 

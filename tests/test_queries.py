@@ -1,10 +1,13 @@
 """A selection of the registered queries against their SQL; check.py runs all of them."""
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
 from check import TABLES, canonical
+from sensorlab.checks import models
+from sensorlab.functions.draws import key_text
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["measure_merge", "densify", "zone_sync", "asof_weather", "gap_summary", "gap_runs", "fill_linear", "fill_windowed",
@@ -30,3 +33,27 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_neighbour_queries_take_every_reading(spark):
+    queries = entry_points.queries()
+    keys = {r[0] for r in models.sensor_table(spark, SF).select(key_text(models.KEYS, "time")).collect()}
+    table = sorted((r["row"], *(r[c] for c in models.COLUMNS)) for r in models.sensor_rows(spark, SF).collect())
+    assert [r[0] for r in table] == sorted(keys) and len(keys) > 900
+    names, x = np.array([r[0] for r in table]), np.array([r[1:] for r in table])
+    d2 = np.round(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2), 9)
+    near = {}
+    for r in queries["knn_join_rows"](spark, SF).collect():
+        near.setdefault(r["row"], {})[r["nth"]] = r["distance"]
+    for k, name in enumerate(names):
+        assert np.allclose([near[name][i] for i in range(1, 6)], np.sqrt(np.sort(d2[k])[:5]), atol=2e-6)
+    for query in ("lof_scores_rows", "lof_detector", "reconstruction_detector"):
+        assert sorted(r["row"] for r in queries[query](spark, SF).select("row").collect()) == sorted(keys)
+
+
+def test_the_neighbour_detector_tries_its_whole_grid(spark, monkeypatch):
+    seen = []
+    plain = models.detectors.LocalOutlierFactor.__init__
+    monkeypatch.setattr(models.detectors.LocalOutlierFactor, "__init__", lambda self, grid=None: (plain(self, grid), seen.append(self.grid))[0])
+    entry_points.queries()["lof_detector"](spark, SF)
+    assert seen == [models.detectors.NEIGHBOUR_GRID]
