@@ -9,6 +9,7 @@ from sensorlab.checks.registry import CLEAN, HOLES, K, READINGS, WEATHER, clean,
 from sensorlab.functions.draws import key_text, normal, poisson_one, uniform
 from sensorlab.operators import align, detectors, evaluate, fills, isolation, models, ordered
 from sensorlab.plans import cleaning, detection, imputation, ingest
+from sensorlab.schema import MEASURES
 from sensorlab.session import scratch, stage
 
 KEYS = ["zone", "device_id", "house"]
@@ -223,15 +224,14 @@ def reconstruction_detector(spark, d):
 @query()
 def boosted_detector(spark, d):
     table = stage(synthetic(spark, d))
-    detector = detectors.BoostedTrees({"maxIter": [3], "maxDepth": [2, 3]}, folds=2).fit(table.filter("train"), NB)
+    detector = detectors.BoostedTrees().fit(table.filter("train"), NB)
     return detector.score(table.filter("NOT train")).select("row", "anomaly", "predicted", "score")
 
 
 @query()
 def detection_run(spark, d):
-    table = sensor_table(spark, d)
-    candidates = [detectors.BoostedTrees({"maxIter": [3], "maxDepth": [3]}, folds=2), detectors.NaiveBayes(), detectors.Reconstruction()]
-    return detection.detect_anomalies(table, candidates)["metrics"]
+    out = detection.detect_anomalies(sensor_table(spark, d))
+    return out["flagged"].select("row", F.lit(out["best"]).alias("model"), "predicted", "score")
 
 
 # --- outlier models ---------------------------------------------------------------------------
@@ -239,14 +239,15 @@ def detection_run(spark, d):
 @query()
 def isolation_forest(spark, d):
     table = stage(featured(spark, d))
-    out = isolation.isolation_labels(table, cleaning.model_inputs("temperature"), key_text(KEYS, "time"), "isolated", ["zone", "period"], trees=25)
-    return out.select(*KEYS, "time", "isolated")
+    out = table
+    for c in MEASURES:
+        out = isolation.isolation_labels(out, cleaning.model_inputs(c), key_text(KEYS, "time"), f"{c}_isolated", ["zone", "period"])
+    return out.select(*KEYS, "time", *[f"{c}_isolated" for c in MEASURES])
 
 
 @query()
 def outlier_run(spark, d):
-    out = cleaning.remove_outliers(cleaned(spark, d), ["temperature"], "week", {"trees": 10}, {"trees": 2, "depth": 3})
-    return out["summary"]
+    return cleaning.remove_outliers(cleaned(spark, d), forest={})["table"]  # with a forest of the default size
 
 
 # --- model-based and per-gap fills ------------------------------------------------------------
@@ -254,12 +255,12 @@ def outlier_run(spark, d):
 @query()
 def fill_model(spark, d):
     table = align.asof_join(fixtures.readings(spark, d), fixtures.weather(spark, d), "2 hours")
-    return imputation.model_imputation(table, trees=5, depth=4)["table"]
+    return imputation.model_imputation(table)["table"]
 
 
 def _trained(spark, d):
     table = align.asof_join(cleaned(spark, d), fixtures.weather(spark, d), "2 hours")
-    return models.train_fill_models(stage(models.model_features(table)), ["temperature"], trees=5, depth=4)
+    return models.train_fill_models(stage(models.model_features(table)))
 
 
 @query()
@@ -272,7 +273,7 @@ def model_reload(spark, d):
     path = scratch(spark, "models")
     models.save_models(_trained(spark, d)[0], path)
     table = align.asof_join(cleaned(spark, d), fixtures.weather(spark, d), "2 hours")
-    return models.fill_model(table, models.load_models(path, ["temperature"]))
+    return models.fill_model(table, models.load_models(path))
 
 
 @query()
@@ -318,5 +319,5 @@ def missing_after_sync(spark, d):
 
 @query()
 def imputation_run(spark, d):
-    out = imputation.choose_imputation(fixtures.readings(spark, d), ["mean", "linear", "custom"], options={"custom": {"short": "1 hour", "medium": "6 hours"}}, interval="1 hour")
+    out = imputation.choose_imputation(fixtures.readings(spark, d), list(fills.METHODS))
     return out["table"]

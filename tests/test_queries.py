@@ -1,5 +1,7 @@
 """A selection of the registered queries against their SQL; check.py runs all of them."""
 
+import inspect
+
 import duckdb
 import numpy as np
 import pytest
@@ -8,6 +10,9 @@ import __spark_entry__ as entry_points
 from check import TABLES, canonical
 from sensorlab.checks import models
 from sensorlab.functions.draws import key_text
+from sensorlab.operators import detectors, fills, isolation, models as operator_models
+from sensorlab.plans import cleaning, detection, imputation
+from sensorlab.schema import MEASURES
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["measure_merge", "densify", "zone_sync", "asof_weather", "gap_summary", "gap_runs", "fill_linear", "fill_windowed",
@@ -51,9 +56,40 @@ def test_neighbour_queries_take_every_reading(spark):
         assert sorted(r["row"] for r in queries[query](spark, SF).select("row").collect()) == sorted(keys)
 
 
-def test_the_neighbour_detector_tries_its_whole_grid(spark, monkeypatch):
-    seen = []
-    plain = models.detectors.LocalOutlierFactor.__init__
-    monkeypatch.setattr(models.detectors.LocalOutlierFactor, "__init__", lambda self, grid=None: (plain(self, grid), seen.append(self.grid))[0])
-    entry_points.queries()["lof_detector"](spark, SF)
-    assert seen == [models.detectors.NEIGHBOUR_GRID]
+class Reached(Exception):
+    """The job a query asks for; the job itself isn't run."""
+
+
+def asked(monkeypatch, owner, name, spark, query):
+    """The arguments, defaults included, with which a query reaches a function."""
+    signature = inspect.signature(getattr(owner, name))
+
+    def stop(*args, **options):
+        bound = signature.bind(*args, **options)
+        bound.apply_defaults()
+        raise Reached(bound.arguments)
+
+    with monkeypatch.context() as patch:
+        for module in (models, imputation):
+            patch.setattr(module, "stage", lambda df: df)
+        patch.setattr(owner, name, stop)
+        with pytest.raises(Reached) as found:
+            entry_points.queries()[query](spark, SF)
+    return found.value.args[0]
+
+
+def test_queries_ask_for_the_whole_job(spark, monkeypatch):
+    ask = lambda *x: asked(monkeypatch, *x[:2], spark, x[2])
+    assert ask(detectors.LocalOutlierFactor, "fit", "lof_detector")["self"].grid == detectors.NEIGHBOUR_GRID
+    boosted = ask(detectors.BoostedTrees, "fit", "boosted_detector")["self"]
+    assert (boosted.grid, boosted.folds) == (detectors.BOOSTED_GRID, 5)
+    assert ask(detection, "detect_anomalies", "detection_run")["candidates"] is None
+    assert ask(isolation, "isolation_scores", "isolation_forest")["trees"] == 100
+    job = ask(cleaning, "remove_outliers", "outlier_run")
+    assert list(job["cols"]) == list(MEASURES) and job["forest"] == {} and job["training"] is None
+    for query in ("fill_model_metrics", "model_reload", "feature_importance"):
+        job = ask(operator_models, "train_fill_models", query)
+        assert (list(job["cols"]), job["trees"], job["depth"]) == (list(MEASURES), 100, 6)
+    job = ask(imputation, "train_fill_models", "fill_model")
+    assert (list(job["cols"]), job["trees"], job["depth"]) == (list(MEASURES), 100, 6)
+    assert sorted(ask(imputation, "choose_imputation", "imputation_run")["methods"]) == sorted(fills.METHODS)
