@@ -3,7 +3,7 @@
 An Aho-Corasick automaton finds all vocabulary pieces in a text; for every place the best score of a path to it and
 that path's number of pieces are kept, nothing else. Ties go as in unigram tokenizers: ends are settled from the
 left, starts are tried from the left, and only a better score replaces a path. A character without a piece of its own
-scores 10 below the worst piece, and neighbouring unknown characters are one piece.
+scores 10 below the worst piece, and neighbouring unknown characters are one piece, or one for each UTF-8 byte where the model has byte pieces.
 """
 
 from __future__ import annotations
@@ -32,6 +32,14 @@ def read_pieces(model_file: str) -> list[tuple[str, float]]:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
 
 
+def has_bytes(model_file: str) -> bool:
+    """Whether the model has a piece for every byte, for characters without a piece."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    return sum(model.is_byte(i) for i in range(model.get_piece_size())) == 256
+
+
 class Counter:
     """Scores and counts of texts. Segments are settled apart where that can't change a path.
 
@@ -39,7 +47,8 @@ class Counter:
     best path is the best paths of its segments in a row; with other scores or pieces the text is one segment.
     """
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], byte_pieces: bool = False):
+        self.byte_pieces = byte_pieces
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             if not self.automaton.exists(piece):
@@ -59,7 +68,8 @@ class Counter:
         def unknown(end: int) -> None:
             here = score[end - 1] + self.unknown
             if segment[end - 1] not in self.alone and (score[end] is None or here > score[end]):
-                score[end], count[end], open_end[end] = here, count[end - 1] + (not open_end[end - 1]), True
+                more = len(segment[end - 1].encode()) if self.byte_pieces else not open_end[end - 1]
+                score[end], count[end], open_end[end] = here, count[end - 1] + more, True
 
         for last, (length, value) in self.automaton.iter(segment):
             end = last + 1
@@ -98,16 +108,16 @@ def count_tokens(docs: DataFrame, model_file: str) -> DataFrame:
     """Per document: doc_id, n_tokens, score of the best segmentation of its whole text.
 
     Null and empty texts have no tokens and score 0; a text without any known character is one unknown piece for
-    each run; repeated rows stay; an empty table gives no rows; extra columns are left aside.
+    each run, or its bytes where the model has byte pieces; repeated rows stay; an empty table gives no rows; extra columns are left aside.
     """
-    return count_with(docs, read_pieces(model_file))
+    return count_with(docs, read_pieces(model_file), has_bytes(model_file))
 
 
-def count_with(docs: DataFrame, pieces: list[tuple[str, float]]) -> DataFrame:
+def count_with(docs: DataFrame, pieces: list[tuple[str, float]], byte_pieces: bool = False) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def count(batches):
-        counter = Counter(sent.value)
+        counter = Counter(sent.value, byte_pieces)
         shape = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64())])
         for batch in batches:
             found = [counter.count(t.as_py()) for t in batch.column("text")]

@@ -97,3 +97,19 @@ def test_token_counts_of_documents(spark, docs, no_docs, corpus):
     want = sorted(((r[0], len(tokenizer.encode("▁" + r[1].replace(" ", "▁")).ids) if r[1] else 0) for r in corpus), key=str)
     assert sorted(((r["doc_id"], r["n_tokens"]) for r in viterbi.count_tokens(docs, file).collect()), key=str) == want
     assert viterbi.count_tokens(no_docs, file).count() == 0
+
+
+def test_unknown_characters_count_as_their_bytes(spark):
+    import public_tokenizers
+
+    file, rng = public_tokenizers.path("piece_bpe_32k.model"), random.Random(12)
+    pieces = viterbi.read_pieces(file)
+    low = min(s for _, s in pieces) - 100.0  # never on a path of its own
+    tokenizer = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces, *((f"<0x{b:02X}>", low) for b in range(256))], 0, True))
+    # Texts of more unknown runs than one; the tokenizer's lower score for unknowns doesn't change a path.
+    texts = ["漢", "漢 漢", "a\n\n\nb", "🙂🙂 you", "漢\n🙂", "\U00020000"]
+    texts += ["".join(rng.choice(["the ", "of", "\n", "漢", "🙂", " ", "ꙮ", "river"]) for _ in range(rng.randrange(1, 30))) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in viterbi.count_tokens(docs, file).collect()}
+    assert got == {i: len(tokenizer.encode("▁" + t.replace(" ", "▁")).ids) for i, t in enumerate(texts)}
+    assert got[0] == 4
