@@ -6,7 +6,9 @@ one source's counts change is added from a histogram of its counts, and what two
 for each combination of a tree node and one of its ancestors, times the number of rows that pass the node. Rows are
 dealt out in order, so those that share a path meet in one task; a path that two tasks share only makes two nodes.
 
-The products stay in the range of a long while a language keeps up to 10^9 terms; sums over tasks are decimals.
+Words are counted over the UTF-8 bytes of a batch, told apart there by 64-bit hashes, and meet as strings. The products
+stay in the range of a long while a language keeps up to 10^9 terms; sums over tasks are decimals. The list of sources
+(some 40 bytes for each language and source) is sent to all tasks: the result has the square of its rows.
 """
 
 from __future__ import annotations
@@ -14,25 +16,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorlab.llm.common import staged
+from sensorlab.llm.words import LOWER, find_words, hash_words, mix, slices, utf8_column
 
 #: Documents of a language that must hold a term, and ranks that the part ``term`` reports.
 LEAST_DOCS = 3
 TERM_RANKS = 200
 
-#: Runs of ASCII letters and of all characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words are runs of ASCII letters and of bytes of characters beyond ASCII.
+LETTER = np.zeros(256, dtype=bool)
+LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = LETTER[0x80:] = True
 
-#: Path items that one tree of a task holds at most, and node-ancestor combinations that are looked at together.
+#: Words that are counted together, path items that one tree of a task holds, node-ancestor combinations looked at together.
+WORDS = 4 << 20
 TREE_ITEMS = 1 << 20
 STEP = 1 << 20
 
 PAIRS = pa.schema([("lang", pa.string()), ("a", pa.int32()), ("b", pa.int32()), ("value", pa.int64())])
+#: One row for each language and term: the hashes of its sources and its counts there, as binary longs in the order of the hashes.
+COUNTS = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.binary()), ("counts", pa.binary())])
+COUNTS_DDL = "lang string, term string, docs long, sources binary, counts binary"
+#: An item of a path: places of bytes that sort as source and count do.
+ITEM = np.dtype([("code", ">u4"), ("n", ">u8")])
 
 
 def divergence(p, q):
@@ -44,27 +54,150 @@ def divergence_column(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) div {q}")
 
 
+def share(counts: np.ndarray, sizes) -> np.ndarray:
+    """1 + floor(10^9 * (count + 1) / size), as 31250 times 32000 so that longs hold counts up to 10^14."""
+    whole, rest = np.divmod((counts + 1) * 31250, sizes)
+    return 1 + whole * 32000 + rest * 32000 // sizes
+
+
 def share_column(count: str, total: str, terms: str) -> Column:
-    """1 + floor(10^9 * (count + 1) / (total + terms)), as 31250 and 32000 so that longs hold counts up to 10^14."""
+    """As ``share``, of size total + terms."""
     x, size = f"({count} + 1)", f"({total} + {terms})"
     return F.expr(f"1 + ({x} * 31250L div {size}) * 32000L + ({x} * 31250L % {size}) * 32000L div {size}")
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), docs (documents that hold it); sums before the shuffle keep frequent words small."""
-    lowered = F.translate(F.col("text"), UPPER, LOWER)
-    words = docs.select("lang", "source", F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)).alias("words"))
-    # A document's words one by one, and its distinct words once more: both counts need no row for a document and word.
-    each = words.select("lang", "source", F.explode("words").alias("term"), F.lit(1).alias("n"), F.lit(0).alias("docs"))
-    once = words.select("lang", "source", F.explode(F.array_distinct("words")).alias("term"), F.lit(0).alias("n"), F.lit(1).alias("docs"))
-    return each.union(once).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def binaries(values: np.ndarray, lengths: np.ndarray, width: int = 8) -> pa.Array:
+    """Binary values of so many items each, cut from one array."""
+    offsets = np.concatenate([[0], np.cumsum(lengths * width)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def items_of(column: pa.Array, kind=np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """All items of a binary column one after the other, and the number of each row."""
+    lengths = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind), lengths
+
+
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    place = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)
+    return pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[place])])
+
+
+def counted(langs: pa.Array, sources: np.ndarray, column: pa.Array) -> Iterator[pa.RecordBatch]:
+    """A batch's counts by language and term."""
+    data, offsets = utf8_column(column)
+    data = LOWER[data]
+    langs = langs.dictionary_encode()
+    lang_of, names = langs.indices.to_numpy(), langs.dictionary
+    known, source_of = np.unique(sources, return_inverse=True)
+    held, n = [], 0
+
+    def flush():
+        hashes, starts, ends, rows = (np.concatenate(x) for x in zip(*held))
+        lang = lang_of[rows]
+        keys, _ = pd.factorize(hashes ^ mix(lang.astype(np.uint64) + np.uint64(1)))
+        many = int(keys.max()) + 1
+        first = np.empty(many, np.int64)
+        first[keys[::-1]] = np.arange(len(keys))[::-1]
+        docs = np.bincount(np.unique(keys * len(lang_of) + rows) // len(lang_of), minlength=many)
+        pair, count = np.unique(keys * len(known) + source_of[rows], return_counts=True)
+        lengths = np.bincount(pair // len(known), minlength=many)
+        return pa.RecordBatch.from_arrays([
+            names.take(pa.array(lang[first])), strings(data, starts[first], ends[first]), pa.array(docs.astype(np.int64)),
+            binaries(known[pair % len(known)], lengths), binaries(count.astype(np.int64), lengths)], schema=COUNTS)
+
+    for a, b in slices(offsets):
+        part = data[offsets[a] : offsets[b]]
+        starts, ends, before = find_words(part, offsets[a : b + 1] - offsets[a], LETTER)
+        if not len(starts):
+            continue
+        held.append((hash_words(part, starts, ends), starts + offsets[a], ends + offsets[a], np.repeat(np.arange(a, b), np.diff(before))))
+        n += len(starts)
+        if n >= WORDS:
+            yield flush()
+            held, n = [], 0
+    if held:
+        yield flush()
+
+
+def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row for each language and term of a batch in that order, and counts added up."""
+    new = np.ones(batch.num_rows, bool)
+    for name in ("lang", "term"):
+        column = batch.column(name)
+        differs = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = differs if name == "lang" else new[1:] | differs
+    heads = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    sources, lengths = items_of(batch.column("sources"))
+    counts, _ = items_of(batch.column("counts"))
+    rows = np.repeat(group, lengths)
+    order = np.lexsort((sources, rows))
+    rows, sources, counts = rows[order], sources[order], counts[order]
+    edge = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (sources[1:] != sources[:-1])]))
+    sizes = np.bincount(rows[edge], minlength=len(heads))
+    docs = np.add.reduceat(batch.column("docs").to_numpy(), heads)
+    return pa.RecordBatch.from_arrays([
+        batch.column("lang").take(pa.array(heads)), batch.column("term").take(pa.array(heads)), pa.array(docs),
+        binaries(sources[edge], sizes), binaries(np.add.reduceat(counts, edge), sizes)], schema=COUNTS)
+
+
+def kept_terms(docs: DataFrame, least: int) -> DataFrame:
+    """A row for each language and term that enough documents hold."""
+    def count(batches):
+        for batch in batches:
+            yield from counted(batch.column("lang"), batch.column("source").to_numpy(), batch.column("text"))
+
+    def meet(batches):
+        last = None  # the group that the next batch may go on with, merged
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch.cast(COUNTS)]).combine_chunks().to_batches()[0]
+            batch = merged(batch)
+            last = batch.slice(batch.num_rows - 1)
+            done = batch.slice(0, batch.num_rows - 1)
+            yield done.filter(pc.greater_equal(done.column("docs"), least))
+        if last is not None:
+            yield last.filter(pc.greater_equal(last.column("docs"), least))
+
+    words = docs.select("lang", F.xxhash64("source").alias("source"), "text").mapInArrow(count, COUNTS_DDL)
+    return words.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(meet, COUNTS_DDL)
+
+
+class Sources:
+    """Per language: the sources' hashes in order with their codes, sums and p of a count of 0; kept terms, and their sum."""
+
+    def __init__(self, rows: list):
+        self.langs = {}
+        for lang in sorted({r["lang"] for r in rows}):
+            own = sorted((r for r in rows if r["lang"] == lang), key=lambda r: r["key"])
+            read = lambda c: np.array([r[c] for r in own], np.int64)  # noqa: B023, E731
+            terms, total = own[0]["terms"], own[0]["lang_size"]
+            codes, sizes = read("code"), np.zeros(max(r["code"] for r in own) + 1, np.int64)
+            sizes[codes] = read("size")
+            self.langs[lang] = read("key"), codes, sizes, terms, total
+
+    def codes(self, lang: str, sources: np.ndarray) -> np.ndarray:
+        keys, codes, *_ = self.langs[lang]
+        return codes[np.searchsorted(keys, sources)]
+
+    def shares(self, lang: str, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        _, _, sizes, terms, _ = self.langs[lang]
+        return share(counts, sizes[codes] + terms)
 
+    def lang_shares(self, lang: str, counts: np.ndarray) -> np.ndarray:
+        *_, terms, total = self.langs[lang]
+        return share(counts, total + terms)
 
-def kept_terms(counts: DataFrame, least: int) -> DataFrame:
-    """lang, term, total, items (source and count, by source): terms in enough documents; a row has one item for each source."""
-    rows = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("source", "n"))).alias("items"))
-    return rows.filter(F.col("docs") >= least).select("lang", "term", "total", "items")
+
+def by_language(batches) -> Iterator[tuple[str, pa.RecordBatch]]:
+    for batch in batches:
+        for lang in batch.column("lang").unique().to_pylist():
+            yield lang, batch.filter(pc.equal(batch.column("lang"), lang))
 
 
 def tree_pairs(first: np.ndarray, items: np.ndarray, shares: np.ndarray, bases: np.ndarray, weights: np.ndarray) -> Iterator[tuple]:
@@ -112,33 +245,71 @@ def summed(parts: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return a, b, value
 
 
-def pair_corrections(paths: DataFrame, tree_items: int = TREE_ITEMS) -> DataFrame:
+def pair_corrections(paths: DataFrame, sources, tree_items: int = TREE_ITEMS) -> DataFrame:
     """lang, a, b, value: what two sources' counts change together, from paths (lang, path, weight) in order."""
     def tree(lang: str, held: list) -> Iterator[pa.RecordBatch]:
-        sizes = np.concatenate([p.value_lengths().to_numpy() for p, _ in held]).astype(np.int64)
-        flat = [p.flatten() for p, _ in held]
-        items, shares, bases = (np.concatenate([f.field(name).to_numpy() for f in flat]) for name in ("code", "p", "p0"))
-        weights = np.concatenate([w.to_numpy() for _, w in held])
-        a, b, value = summed(tree_pairs(np.concatenate([[0], np.cumsum(sizes)]), items, shares, bases, weights))
+        items = np.concatenate([i for i, _, _ in held])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n, _ in held]))])
+        codes, weights = items["code"].astype(np.int64), np.concatenate([w for _, _, w in held])
+        known = sources.value
+        shares, bases = known.shares(lang, codes, items["n"].astype(np.int64)), known.shares(lang, codes, np.zeros(len(codes), np.int64))
+        a, b, value = summed(tree_pairs(first, codes, shares, bases, weights))
         yield pa.RecordBatch.from_pydict({"lang": [lang] * len(a), "a": a.astype(np.int32), "b": b.astype(np.int32), "value": value}, schema=PAIRS)
 
     def run(batches):
-        lang, held, n = None, [], 0
-        for batch in batches:
-            for found in batch.column("lang").unique().to_pylist():  # in order
-                part = batch.filter(pc.equal(batch.column("lang"), found))
-                if held and (found != lang or n > tree_items):
-                    yield from tree(lang, held)
-                    held, n = [], 0
-                lang = found
-                held.append((part.column("path"), part.column("weight")))
-                n += len(part.column("path").flatten())
+        last, held, n = None, [], 0
+        for lang, part in by_language(batches):
+            if held and (lang != last or n > tree_items):
+                yield from tree(last, held)
+                held, n = [], 0
+            last = lang
+            items, lengths = items_of(part.column("path"), ITEM)
+            held.append((items, lengths, part.column("weight").to_numpy()))
+            n += len(items)
         if held:
-            yield from tree(lang, held)
+            yield from tree(last, held)
 
     return paths.mapInArrow(run, "lang string, a int, b int, value long")
 
 
+def histogram(rows: DataFrame, sources) -> DataFrame:
+    """lang, code, p, many: how many kept terms have each share in each source (terms that it lacks left out)."""
+    def run(batches):
+        for lang, part in by_language(batches):
+            codes = sources.value.codes(lang, items_of(part.column("sources"))[0])
+            shares = sources.value.shares(lang, codes, items_of(part.column("counts"))[0])
+            order = np.lexsort((shares, codes))
+            codes, shares = codes[order], shares[order]
+            edge = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (shares[1:] != shares[:-1])]))
+            many = np.diff(np.concatenate([edge, [len(codes)]]))
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(edge), "code": pa.array(codes[edge], pa.int32()), "p": shares[edge], "many": many})
+
+    return rows.mapInArrow(run, "lang string, code int, p long, many long").groupBy("lang", "code", "p").agg(F.sum("many").alias("many"))
+
+
+def term_values(rows: DataFrame, sources, ranks: int) -> DataFrame:
+    """lang, code, item, value of terms that a source uses more than its language; of a batch only those that may be ranked."""
+    def run(batches):
+        for lang, part in by_language(batches):
+            keys, lengths = items_of(part.column("sources"))
+            counts, _ = items_of(part.column("counts"))
+            codes, row = sources.value.codes(lang, keys), np.repeat(np.arange(part.num_rows), lengths)
+            p = sources.value.shares(lang, codes, counts)
+            q = sources.value.lang_shares(lang, np.add.reduceat(counts, np.concatenate([[0], np.cumsum(lengths)[:-1]])))[row]
+            over = np.flatnonzero(p > q)
+            codes, row, value = codes[over], row[over], divergence(p[over], q[over])
+            order = np.lexsort((-value, codes))
+            codes, row, value = codes[order], row[order], value[order]
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(codes)]])))
+            # Ties with the last place stay: the term decides among them later.
+            last = np.minimum(starts + ranks - 1, np.concatenate([starts[1:], [len(codes)]]) - 1)
+            may = value >= value[last][group]
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * int(may.sum()), "code": pa.array(codes[may], pa.int32()), "item": part.column("term").take(pa.array(row[may])), "value": value[may]})
+
+    return rows.mapInArrow(run, "lang string, code int, item string, value long")
+
+
 def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, term_ranks: int = TERM_RANKS) -> DataFrame:
     """lang, source, part, item, value, rank: which other sources and which terms a source differs by most.
 
@@ -149,40 +320,51 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, term_ranks:
     doc_id count as documents of their own; ties in value are ranked by the item's UTF-8 bytes; an empty table gives no
     rows; other columns play no part.
     """
+    spark = docs.sparkSession
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    rows = staged(kept_terms(term_counts(docs), least_docs), "terms")
-    long = rows.select("lang", "term", "total", F.inline("items"))
-    sums = long.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    langs = rows.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("total").alias("lang_size"))
-    groups = docs.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
+    rows = staged(kept_terms(docs, least_docs), "terms")
+
+    def sums(batches):
+        for lang, part in by_language(batches):
+            keys, place = np.unique(items_of(part.column("sources"))[0], return_inverse=True)
+            size = np.zeros(len(keys), np.int64)
+            np.add.at(size, place, items_of(part.column("counts"))[0])
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(keys), "key": keys, "size": size, "terms": [part.num_rows] + [0] * (len(keys) - 1)})
+
+    sizes = staged(rows.mapInArrow(sums, "lang string, key long, size long, terms long").groupBy("lang", "key").agg(F.sum("size").alias("size"), F.sum("terms").alias("terms")), "sizes")
+    langs = sizes.groupBy("lang").agg(F.sum("terms").alias("terms"), F.sum("size").alias("lang_size"))
+    groups = docs.select("lang", "source").distinct().withColumn("key", F.xxhash64("source"))
+    groups = groups.join(sizes.select("lang", "key", "size"), ["lang", "key"], "left").join(langs, "lang", "left").na.fill(0)
     # One row for each language and source: the result has the square of that.
-    code = F.row_number().over(Window.partitionBy("lang").orderBy("source")).alias("code")
+    code = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).alias("code")
     base = F.when(F.col("terms") > 0, share_column("0L", "size", "terms")).alias("p0")
-    groups = staged(groups.select("lang", "source", code, "size", "lang_size", "terms", base), "sources")
+    groups = staged(groups.select("lang", "source", "key", code, "size", "lang_size", "terms", base), "sources")
+    sent = spark.sparkContext.broadcast(Sources(groups.filter("terms > 0").collect()))
 
-    counted = staged(
-        long.join(groups, ["lang", "source"]).select(
-            "lang", "term", "source", "code", share_column("n", "size", "terms").alias("p"), "p0", share_column("total", "lang_size", "terms").alias("q")),
-        "shares")
-    nodes = counted.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("code", "p", "p0"))).alias("path"))
-    paths = nodes.groupBy("lang", "path").agg(F.count("*").alias("weight"))
-    ordered = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    def paths(batches):
+        for lang, part in by_language(batches):
+            keys, lengths = items_of(part.column("sources"))
+            items = np.zeros(len(keys), ITEM)
+            items["code"], items["n"] = sent.value.codes(lang, keys), items_of(part.column("counts"))[0]
+            items = items[np.lexsort((items["code"], np.repeat(np.arange(len(lengths)), lengths)))]
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(lengths), "path": binaries(items, lengths, ITEM.itemsize)})
+
+    weighted = rows.mapInArrow(paths, "lang string, path binary").groupBy("lang", "path").agg(F.count("*").alias("weight"))
+    ordered = weighted.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
 
     wide = F.col("value").cast("decimal(38,0)").alias("value")
     left, right = groups.select("lang", F.col("code").alias("a"), F.col("p0").alias("a0"), "terms"), groups.select("lang", F.col("code").alias("b"), F.col("p0").alias("b0"))
     of_none = left.join(right, "lang").filter("a <> b").withColumn("value", F.coalesce(F.col("terms") * divergence_column("a0", "b0"), F.lit(0)))
-    histogram = counted.groupBy("lang", "code", "p", "p0").agg(F.count("*").alias("many"))
-    with_other = histogram.join(right, "lang").filter("code <> b")
-    none = divergence_column("p0", "b0")
-    of_left = with_other.select("lang", F.col("code").alias("a"), "b", (F.col("many") * (divergence_column("p", "b0") - none)).alias("value"))
-    back = divergence_column("b0", "p0")
-    of_right = with_other.select("lang", F.col("b").alias("a"), F.col("code").alias("b"), (F.col("many") * (divergence_column("b0", "p") - back)).alias("value"))
-    parts = [p.select("lang", "a", "b", wide) for p in (of_none, of_left, of_right, pair_corrections(ordered))]
-    pairs = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).groupBy("lang", "a", "b").agg(F.sum("value").cast("long").alias("value"))
+    alone = histogram(rows, sent).join(left.select("lang", F.col("a").alias("code"), F.col("a0").alias("p0")), ["lang", "code"])
+    with_other = alone.join(right, "lang").filter("code <> b")
+    here, back = divergence_column("p", "b0") - divergence_column("p0", "b0"), divergence_column("b0", "p") - divergence_column("b0", "p0")
+    both = with_other.select("lang", F.inline(F.array(
+        F.struct(F.col("code").alias("a"), F.col("b"), (F.col("many") * here).alias("value")), F.struct(F.col("b").alias("a"), F.col("code").alias("b"), (F.col("many") * back).alias("value")))))
+    parts = [p.select("lang", "a", "b", wide) for p in (of_none, both, pair_corrections(ordered, sent))]
+    pairs = parts[0].union(parts[1]).union(parts[2]).groupBy("lang", "a", "b").agg(F.sum("value").cast("long").alias("value"))
     name = lambda c, title: groups.select("lang", F.col("code").alias(c), F.col("source").alias(title))
     pairs = pairs.join(name("a", "source"), ["lang", "a"]).join(name("b", "item"), ["lang", "b"])
-
-    over = counted.filter("p > q").select("lang", "source", F.col("term").alias("item"), divergence_column("p", "q").alias("value"))
+    over = term_values(rows, sent, term_ranks).join(name("code", "source"), ["lang", "code"])
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     out = lambda df, part: df.select("lang", "source", F.lit(part).alias("part"), "item", "value", place.alias("rank"))
     return out(pairs, "pair").union(out(over, "term").filter(F.col("rank") <= term_ranks))
