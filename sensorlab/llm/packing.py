@@ -1,15 +1,22 @@
-"""Mixture-controlled packing: documents become token ids, and deficit round-robin over their sources deals them
-into windows of equal length.
-
-In every round each source's credit grows by its share of a window, and it sends documents while its credit is above
-zero; what a document takes beyond the credit is carried into the next rounds as a deficit. A document that begins
-after c tokens of its source therefore goes out in round floor(c / quantum), whatever the other sources do, so the
-whole schedule follows from running totals per source, made in parallel, and deficits carry across all windows and
-partitions. The stream in schedule order is cut at every window's end, so only the last sequence is padded.
+"""Mixture-controlled packing: documents become token ids, and deficit round-robin over their sources fills windows of
+equal length to the target proportions.
+
+Every source is a queue of tokens. A lap of LAP windows takes from each queue the whole tokens that its share of all laps
+so far allows, so what a lap lacks or has too much is carried into the next ones as a deficit. Inside a lap a queue gives
+every window the same number of tokens, and what is left over goes one token each to windows in turn, the next queue
+going on where the last one stopped; so all windows are full and no queue is more than a token off its share of the lap. When a queue
+runs dry, its share goes to the others. All this follows from running totals per source, so any token's window and place
+there are known without looking at other documents, and laps and deficits carry across all partitions.
+
+Queues with less than two tokens in a lap (a share below 1 / 65,536) go together as one queue, inside which whole
+documents take turns by the same rule.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -21,6 +28,10 @@ from sensorlab.llm.common import in_batches, staged, text_only
 MOST_WORDS = 600_000
 SPECIAL = "<|endoftext|>"
 
+#: Windows of a lap, and tokens that a queue of its own has in a lap at least.
+LAP = 64
+LEAST = 2
+
 #: A letter or digit before punctuation other than an apostrophe always ends a token's text.
 LETTER, POINT = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[48:58] = LETTER[65:91] = LETTER[97:123] = True
@@ -109,29 +120,45 @@ def coder_of(definition: str) -> WordIds:
 
 
 def document_ids(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
-    """(row, doc_id, source, n, ids): the ids of each text and its end id, packed in 2 or 4 bytes each."""
+    """(row, chunk, doc_id, source, n, before, ids): the ids of each text and its end id, packed in 2 or 4 bytes each.
+
+    ``before`` counts the tokens of the source that the same task (``chunk``) had before.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(definition)
+    shape = pa.schema([("row", pa.int64()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())])
 
     def encode(batches):
-        coder = coder_of(sent.value)
+        coder, running = coder_of(sent.value), {}
         end = np.array([end_id], coder.kind).tobytes()
-        shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 ids = [x + end for x in coder.encode([t.as_buffer().to_pybytes() for t in part.column("text")])]
+                sizes, before = [len(x) // coder.kind.itemsize for x in ids], []
+                for source, n in zip(part.column("source").to_pylist(), sizes):
+                    before.append(running.get(source, 0))
+                    running[source] = before[-1] + n
                 yield pa.RecordBatch.from_arrays([
-                    part.column("row"), part.column("doc_id"), part.column("source"), pa.array([len(x) // coder.kind.itemsize for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary())], schema=shape)
+                    part.column("row"), part.column("chunk"), part.column("doc_id"), part.column("source"), pa.array(sizes, pa.int64()),
+                    pa.array(before, pa.int64()), pa.array(ids, pa.binary())], schema=shape)
 
-    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "source", "text")
-    return rows.mapInArrow(encode, "row long, doc_id long, source string, n long, ids binary")
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", F.shiftright("row", 33).alias("chunk"), "doc_id", "source", "text")
+    return rows.mapInArrow(encode, "row long, chunk long, doc_id long, source string, n long, before long, ids binary")
 
 
-def schedule(rows: DataFrame, window: int, shares: dict[str, float] | None = None) -> DataFrame:
-    """(row, place): how many tokens the stream holds before each row's document.
+def queued(rows: DataFrame) -> DataFrame:
+    """The rows with ``first``: the tokens of their source that go before, over all chunks."""
+    chunks = rows.groupBy("source", "chunk").agg(F.sum("n").alias("tokens"))
+    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("ahead"))
+    return rows.join(chunks, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c"))).withColumn("first", F.col("before") + F.col("ahead")).drop("s", "c", "ahead", "before", "chunk")
+
 
-    ``shares`` gives sources their parts of a window; sources without one take their part of all tokens.
+def schedule(rows: DataFrame, window: int) -> DataFrame:
+    """(row, place) of whole documents that take turns: how many tokens the stream holds before each.
+
+    In every round a source's credit grows by its part of all tokens, and it sends documents while that is above zero; a
+    document that begins after c tokens of its source goes in round floor(c / quantum), whatever the other sources do.
     """
     spark = rows.sparkSession
     rows = rows.select("row", "source", "n", F.shiftright("row", 33).alias("chunk"))
@@ -142,9 +169,6 @@ def schedule(rows: DataFrame, window: int, shares: dict[str, float] | None = Non
     total = rows.agg(F.sum("n")).first()[0] or 0
     sources = chunks.groupBy("source").agg(F.sum("tokens").alias("of_source"))
     part = F.col("of_source") / F.lit(float(max(total, 1)))
-    if shares:
-        given = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
-        part = F.coalesce(given[F.col("source")], part)
     quantum = sources.select(F.col("source").alias("of"), (part * window).alias("quantum"))
     queued = (
         rows.withColumn("before", F.coalesce(F.sum("n").over(own), F.lit(0)))
@@ -165,31 +189,160 @@ def schedule(rows: DataFrame, window: int, shares: dict[str, float] | None = Non
         "row", (F.col("before") + F.col("ahead")).alias("place"))
 
 
+def apportion(amount: int, weights: list, caps: list[int]) -> list[int]:
+    """``amount`` tokens by weight, whole, by largest remainder, with no more than each cap; weight 0 only takes what others can't."""
+    out = [0] * len(caps)
+    while amount > 0:
+        free = [k for k, (cap, got) in enumerate(zip(caps, out)) if cap > got]
+        shares = [Fraction(weights[k]) for k in free]
+        if not sum(shares):
+            shares = [Fraction(caps[k] - out[k]) for k in free]
+        total, given = sum(shares), 0
+        parts = [amount * share / total for share in shares]
+        whole = [min(int(part), caps[k] - out[k]) for k, part in zip(free, parts)]
+        for k, n in zip(free, whole):
+            out[k] += n
+            given += n
+        for part, k in sorted(((int(part) - part, k) for part, k in zip(parts, free)), key=lambda x: x):
+            if given < amount and out[k] < caps[k] and part:
+                out[k] += 1
+                given += 1
+        amount -= given
+    return out
+
+
+class Deal:
+    """Where every token of every queue goes. ``sizes`` are the queues' tokens, ``weights`` their shares.
+
+    The deal is a list of segments: a number of equal laps (tokens follow from the weights) or one lap with given tokens.
+    """
+
+    def __init__(self, sizes: list[int], weights: list, window: int, lap: int = LAP):
+        self.window, self.sizes, self.segments, self.laps = window, list(sizes), [], {}
+        left, at = list(sizes), 0
+        while sum(left) >= window:
+            live = [w if n else 0 for w, n in zip(weights, left)]
+            if not any(live):
+                live = left
+            unit = sum(map(Fraction, live))
+            live = [w if window * lap * Fraction(w) >= LEAST * unit else 0 for w in live]
+            unit = sum(map(Fraction, live))
+            rates = [window * Fraction(w) / unit for w in live]  # tokens of a window
+            most = min(Fraction(n) / r for n, r in zip(left, rates) if r)  # windows until a queue is dry
+            laps = int(most / lap)
+            before = [Fraction(0)]
+            for r in rates:
+                before.append(before[-1] + r * lap)
+            taken = lambda laps: [int(laps * b) - int(laps * a) for a, b in zip(before, before[1:])]  # noqa: B023, E731
+            while laps and any(t > n for t, n in zip(taken(laps), left)):
+                laps -= 1
+            if laps:
+                tokens, size, length = taken(laps), lap, laps
+                self._add(at, laps, lap, left, before, None)
+            else:
+                length, size = 1, max(1, min(int(most), lap, sum(left) // window))
+                tokens = apportion(window * size, live, left)
+                self._add(at, 1, size, left, None, tokens)
+            left = [n - t for n, t in zip(left, tokens)]
+            at += length * size
+        if sum(left):
+            self._add(at, 1, 1, left, None, list(left))
+        self.starts = np.array([s[3] for s in self.segments], object).reshape(len(self.segments), len(sizes))
+
+    def _add(self, at, laps, size, left, before, tokens):
+        self.segments.append((at, laps, size, [n - m for n, m in zip(self.sizes, left)], before, tokens))
+
+    def taken(self, segment: int, queue: int, laps: int) -> int:
+        """Tokens of the queue in the first laps of a segment."""
+        _, _, _, _, before, tokens = self.segments[segment]
+        return laps * tokens[queue] if before is None else int(laps * before[queue + 1]) - int(laps * before[queue])
+
+    def lap(self, segment: int, number: int) -> tuple[list[int], list[int]]:
+        """Tokens of each queue for every window of the lap, and where their extra tokens begin (one more than queues)."""
+        if (segment, number) not in self.laps:
+            if len(self.laps) > 64:
+                self.laps.clear()
+            size = self.segments[segment][2]
+            tokens = [self.taken(segment, k, number + 1) - self.taken(segment, k, number) for k in range(len(self.sizes))]
+            each, extra = np.array([t // size for t in tokens], np.int64), np.array([t % size for t in tokens], np.int64)
+            self.laps[segment, number] = np.concatenate([[0], np.cumsum(each)]), np.concatenate([[0], np.cumsum(extra)])
+        return self.laps[segment, number]
+
+    def pieces(self, queue: int, first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts (within the n tokens), lengths, windows and places there of a queue's tokens from ``first`` on."""
+        end = first + n
+        segment = int(np.searchsorted(self.starts[:, queue], first, side="right")) - 1
+        at = first
+        while at < end:
+            window, laps, size, starts, _, _ = self.segments[segment]
+            here = at - starts[queue]
+            whole = self.taken(segment, queue, laps)
+            if here >= whole:
+                segment += 1
+                continue
+            number = min(laps - 1, here * laps // whole)
+            while self.taken(segment, queue, number) > here:
+                number -= 1
+            while self.taken(segment, queue, number + 1) <= here:
+                number += 1
+            sums, extras = self.lap(segment, number)
+            each, low, high = int(sums[queue + 1] - sums[queue]), int(extras[queue]), int(extras[queue + 1])
+            w = np.arange(size + 1)
+            # Extra tokens lie side by side over the windows, round and round: window v has those at v, v + size, ...
+            upto = lambda x, v: np.maximum(0, -((v - x) // size))  # noqa: B023, E731  how many of the first x are at window v
+            more = upto(high, w[:-1]) - upto(low, w[:-1])
+            ends = starts[queue] + self.taken(segment, queue, number) + np.concatenate([[0], np.cumsum(each + more)])
+            a, b = np.maximum(ends[:-1], at), np.minimum(ends[1:], end)
+            some = np.flatnonzero(a < b)
+            inside = int(sums[queue]) + upto(low, w[:-1])
+            yield a[some] - first, (b - a)[some], window + number * size + some, (inside + a - ends[:-1])[some]
+            at = int(ends[-1])
+
+
 def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int = 1, shares: dict[str, float] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.
 
-    Null and empty texts are the end id alone; a null source is a source of its own; repeated rows are packed each;
-    texts of any length are cut at windows' ends; an empty table gives no rows; extra columns are left aside.
+    ``shares`` gives sources their parts of a window; sources without one take their part of all tokens. A source of share
+    0, or of less than two tokens in a lap, comes when the others are dry. Null and empty texts are the end id alone; a
+    null source is a source of its own; repeated rows are packed each; texts of any length are cut freely; an empty table
+    gives no rows; extra columns are left aside. Only the last window is padded.
     """
+    spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as file:
         definition = file.read()
     wide = Tokenizer.from_str(definition).get_vocab_size() > 1 << 16
     rows = staged(document_ids(text_only(docs, F.col("source").cast("string").alias("source")), definition, end_id), "ids")
-    placed = rows.select("row", "doc_id", F.col("n").alias("doc_tokens"), "ids").join(schedule(rows, window, shares).hint("merge"), "row")
+    sources = staged(rows.groupBy("source").agg(F.sum("n").alias("total")), "sources")
+    total = sources.agg(F.sum("total")).first()[0] or 0
+    named = F.col("source").isin(list(shares)) if shares else F.lit(False)
+    large = (F.col("total") >= F.lit(-(-LEAST * total // (window * LAP)))) | F.coalesce(named, F.lit(False))
+    # At most 65,536 sources are as large as that, besides those that the caller names.
+    own = sources.filter(large).orderBy(F.col("source").asc_nulls_first()).collect()
+    rest = total - sum(r["total"] for r in own)
+    weight = lambda source, n: Fraction(n, max(total, 1)) if not shares or shares.get(source) is None else Fraction(shares[source])
+    sizes, weights = [r["total"] for r in own] + [rest], [weight(r["source"], r["total"]) for r in own] + [Fraction(rest, max(total, 1))]
+    sent = spark.sparkContext.broadcast(Deal(sizes, weights, window))
+    queues = spark.createDataFrame([(r["source"], k) for k, r in enumerate(own)], "s string, queue int")
+    of_queue = F.col("source").eqNullSafe(F.col("s"))
+    placed = queued(rows).join(F.broadcast(queues), of_queue, "left").drop("s")
+    if rest:
+        small = rows.select("row", "source", "n").join(F.broadcast(queues), of_queue, "left_anti")
+        pooled = schedule(small, window).withColumnRenamed("row", "r")
+        placed = placed.join(pooled, F.col("row") == F.col("r"), "left").withColumns({
+            "first": F.coalesce("place", "first"), "queue": F.coalesce("queue", F.lit(len(own)))})
 
     def cut(batch):
         names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
         out, held = {name: [] for name in names}, 0
-        for doc, n, packed, place in zip(*[batch.column(c) for c in ("doc_id", "doc_tokens", "ids", "place")]):
-            doc, n, place = doc.as_py(), n.as_py(), place.as_py()
+        for doc, n, packed, first, queue in zip(*[batch.column(c) for c in ("doc_id", "n", "ids", "first", "queue")]):
+            doc, n = doc.as_py(), n.as_py()
             ids = np.frombuffer(packed.as_buffer(), "<u4" if wide else "<u2").astype("<u4")
-            start = 0
-            while start < n:
-                at = place + start
-                length = min(n - start, window - at % window)
-                for name, value in zip(names, (doc, start, length, ids[start : start + length].tobytes(), n, at // window, at % window)):
-                    out[name].append(value)
-                start += length
+            for starts, lengths, windows, places in sent.value.pieces(queue.as_py(), first.as_py(), n):
+                out["doc_id"] += [doc] * len(starts)
+                out["doc_tokens"] += [n] * len(starts)
+                for name, values in (("start", starts), ("length", lengths), ("sequence_id", windows), ("offset", places)):
+                    out[name] += values.tolist()
+                out["ids"] += [ids[a : a + m].tobytes() for a, m in zip(starts.tolist(), lengths.tolist())]
             held += 4 * n
             if held > 4 << 20:
                 yield out
@@ -197,4 +350,5 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int =
         yield out
 
     shape = pa.schema([(c, pa.binary() if c == "ids" else pa.int64()) for c in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")])
+    placed = placed.select("doc_id", "n", "ids", "first", "queue")
     return placed.mapInArrow(in_batches(cut, shape), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
