@@ -68,5 +68,10 @@ def period(time, unit: str = "month") -> Column:
     return parts[unit](_col(time))
 
 
+def period_year(time, unit: str = "month") -> Column:
+    """The year that a period's number counts in; weeks go by the year that holds most of them."""
+    return F.extract(F.lit("YEAROFWEEK"), _col(time)) if unit == "week" else F.year(_col(time))
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -1,6 +1,6 @@
 """Grouped statistics that stay exact and balanced however large one group is."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorlab.session import stage
 
@@ -102,6 +102,32 @@ def running_totals(df: DataFrame, order: str, totals: dict, by=(), ascending: bo
         {n: F.col(n) + F.col(f"_{n}") for n in totals}).drop("_span", *[f"_{n}" for n in totals])
 
 
+#: Rows of a group that meet its model in one task, about.
+PIECE_ROWS = 100_000
+
+
+def with_models(df: DataFrame, models: DataFrame, by, key, function, added: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``function(rows, model)`` on Arrow tables, for every group cut into pieces of about ``piece_rows`` rows by their key.
+
+    ``models`` has one row a group (none: an empty table); each piece gets a copy. The result is the rows with the columns
+    ``added``. A null in ``by`` is a group of its own.
+    """
+    # Nulls meet as text; the type's own null stays in the rows.
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(b).cast("string")), F.lit("null")) for b in by]
+    name = F.to_json(F.array(*parts)) if parts else F.lit("")
+    rows, given = df.withColumn("_of", name), models.withColumn("_of", name).drop(*by)
+    sizes = lookup(rows.groupBy("_of").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(piece_rows))).cast("int").alias("_pieces")))
+    salted = rows.join(sizes, "_of").withColumn("_piece", F.pmod(F.xxhash64(key), F.col("_pieces")).cast("int")).drop("_pieces")
+    copies = given.join(sizes, "_of").withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
+    group = ["_of", "_piece"]
+    out = T.StructType([*df.schema.fields, *T.StructType.fromDDL(added).fields])
+
+    def run(left, right):
+        return function(left.drop_columns(group), right)
+
+    return salted.groupBy(*group).cogroup(copies.groupBy(*group)).applyInArrow(run, out)
+
+
 def category_codes(df: DataFrame, col: str, code: str = None) -> DataFrame:
     """Replace a column by the position of its value among the sorted distinct values; null is -1."""
     code = code or f"{col}_code"

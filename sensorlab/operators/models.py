@@ -1,5 +1,7 @@
 """Boosted-tree models: filling missing measures, and labelling outliers per period."""
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -9,12 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorlab.functions.calendar import calendar_features
 from sensorlab.functions.draws import key_text, uniform
-from sensorlab.functions.groups import category_codes
+from sensorlab.functions.groups import category_codes, lookup
 from sensorlab.functions.missing import sentinel_to_null
 from sensorlab.operators.evaluate import regression_metrics
 from sensorlab.operators.ordered import CHUNK, fill, linear
 from sensorlab.schema import KEYS, MEASURES, TIME
 from sensorlab.session import stage
+from sensorlab.sources import store
 
 NOT_FEATURES = ("year_month", "WSgust_Max", "WD_Std")
 
@@ -24,10 +27,27 @@ def in_training(keys, time: str = TIME, share: float = 0.8, seed: int = 42) -> C
     return uniform(key_text(keys, time), "split", seed) < share
 
 
-def model_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK) -> DataFrame:
+class FillModels(dict):
+    """Models by measure, with the codes (key, value, code) that the text ids had when they were trained."""
+
+    codes: DataFrame = None
+
+
+def id_codes(df: DataFrame, keys=KEYS) -> DataFrame:
+    """(key, value, code) of the text ids of a table with features: codes a model learnt with."""
+    parts = [df.select(F.lit(k).alias("key"), F.col(k).alias("value"), F.col(f"f_{k}").alias("code")).distinct()
+             for k in keys if isinstance(df.schema[k].dataType, T.StringType)]
+    out = parts[0] if parts else df.sparkSession.createDataFrame([], "key string, value string, code double")
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.filter("value IS NOT NULL")
+
+
+def model_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk: str = CHUNK, codes: DataFrame = None) -> DataFrame:
     """Adds the feature columns used by the models: clock, coded ids and weather without gaps.
 
-    Feature columns are ``f_<name>``; the given columns stay as they were.
+    Feature columns are ``f_<name>``; the given columns stay as they were. Text ids get the ``codes`` of a trained model,
+    -1 for ids it didn't know; without codes they are numbered from this table.
     """
     rows = sentinel_to_null(df, [c for c in cols if c in df.columns])
     out = calendar_features(rows, time, only=("hour", "day_of_week", "is_weekend", "month", "day"))
@@ -40,6 +60,9 @@ def model_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, ch
     for k in keys:
         if isinstance(df.schema[k].dataType, T.NumericType):
             out = out.withColumn(f"f_{k}", F.col(k).cast("double"))
+        elif codes is not None:
+            known = lookup(codes.filter(F.col("key") == k).select(F.col("value").alias(k), F.col("code").cast("double").alias(f"f_{k}")))
+            out = out.join(known, k, "left").withColumn(f"f_{k}", F.coalesce(f"f_{k}", F.lit(-1.0)))
         else:
             out = category_codes(out, k, f"f_{k}").withColumn(f"f_{k}", F.col(f"f_{k}").cast("double"))
     return out.withColumns({
@@ -57,7 +80,8 @@ def train_fill_models(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME,
 
     ``df`` comes from ``model_features``. Returns ``{measure: model}`` and the held-out metrics.
     """
-    names, models, scored = feature_names(df), {}, None
+    names, models, scored = feature_names(df), FillModels(), None
+    models.codes = stage(id_codes(df, keys))
     train = in_training(keys, time, share, seed)
     for c in cols:
         known = stage(df.filter(F.col(c).isNotNull()).select(*names, F.col(c).alias("label"), train.alias("_train")))
@@ -87,7 +111,7 @@ def fill_model(df: DataFrame, models: dict, keys=KEYS, time: str = TIME) -> Data
         missing = missing | F.col(c).isNull()
     if ready.filter(missing).isEmpty():
         return df
-    out = predict(model_features(ready, list(models), keys, time), models)
+    out = predict(model_features(ready, list(models), keys, time, codes=getattr(models, "codes", None)), models)
     return out.withColumns({c: F.coalesce(c, f"predicted_{c}") for c in models}).select(*df.columns)
 
 
@@ -105,12 +129,26 @@ def feature_importance(models: dict) -> DataFrame:
 
 
 def save_models(models: dict, path: str) -> None:
+    """A new version of the models with their id codes; the codes' manifest is written last and names the models' folder."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    folder = f"models-{uuid.uuid4().hex}"
     for name, model in models.items():
-        model.write().overwrite().save(f"{path}/{name}")
+        model.write().save(f"{path}/{folder}/{name}")
+    codes = getattr(models, "codes", None)
+    codes = spark.createDataFrame([], "key string, value string, code double") if codes is None else codes
+    store.save(path, {"codes": codes}, {"folder": folder, "names": sorted(models), "coded": getattr(models, "codes", None) is not None})
 
 
 def load_models(path: str, names=MEASURES) -> dict:
-    return {name: PipelineModel.load(f"{path}/{name}") for name in names}
+    """The last complete version."""
+    from pyspark.sql import SparkSession
+
+    tables, info = store.load(SparkSession.getActiveSession(), path)
+    out = FillModels({name: PipelineModel.load(f"{path}/{info['folder']}/{name}") for name in names})
+    out.codes = tables["codes"] if info["coded"] else None
+    return out
 
 
 def train_classifier(df: DataFrame, names, label: str = "label", trees: int = 100, depth: int = 5, rate: float = 0.1,

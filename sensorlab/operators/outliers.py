@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from sensorlab.functions.calendar import calendar_features, period
+from sensorlab.functions.calendar import calendar_features, period, period_year
 from sensorlab.functions.groups import attach, lookup, quantile_columns
 from sensorlab.operators.ordered import CHUNK, rolling_features
 from sensorlab.schema import KEYS, MEASURES, TIME
@@ -18,9 +18,10 @@ def outlier_features(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME,
     """Calendar, rolling, difference and z-score features, ``period``, and flags set to 0.
 
     The z-score uses the mean and sample deviation over ``by`` (all rows by default); a zero
-    deviation counts as one.
+    deviation counts as one. A period of one year is another one than that of the next year.
     """
-    out = rolling_features(df, cols, 24, keys, time, chunk, within=period(time, unit)).withColumn("period", period(time, unit))
+    within = period_year(time, unit) * 1000 + period(time, unit)
+    out = rolling_features(df, cols, 24, keys, time, chunk, within=within).withColumn("period", period(time, unit))
     out = calendar_features(out, time, only=("month", "day", "hour", "day_of_week", "is_weekend"))
     out = z_scores(out, cols, by)
     return out.withColumns({flag(c): F.lit(0) for c in cols})

@@ -9,12 +9,14 @@ from sensorlab.operators.evaluate import binary_metrics, roc_auc
 from sensorlab.operators.models import in_training
 from sensorlab.schema import KEYS, TIME
 from sensorlab.session import stage
+from sensorlab.sources import writers
 
 
-def detect_anomalies(df: DataFrame, candidates=None, rate: float = 0.1, keys=KEYS, time: str = TIME) -> dict:
+def detect_anomalies(df: DataFrame, candidates=None, rate: float = 0.1, keys=KEYS, time: str = TIME, path: str = None) -> dict:
     """Resample, inject, prepare, train every detector, keep the best by F1, score the given data.
 
-    The given data are scaled with the scaler and encoded with the ids of the training data.
+    The given data are scaled with the scaler and encoded with the ids of the training data. With ``path`` the metrics,
+    the flags and the best detector are written below it, and the given data too if no row of them is flagged.
     """
     candidates = candidates if candidates is not None else [d() for d in detectors.DETECTORS.values()]
     df = stage(df)
@@ -44,4 +46,11 @@ def detect_anomalies(df: DataFrame, candidates=None, rate: float = 0.1, keys=KEY
 
     main, _ = detectors.prepare(df.withColumn("_row_text", key_text(keys, time)), keys, time, values=values, scaler=scaler)
     flagged = detector.score(main.withColumnRenamed("_row_text", "row"))
-    return {"metrics": metrics, "scored": scored, "best": best, "detector": detector, "flagged": flagged, "features": features}
+    out = {"metrics": metrics, "scored": scored, "best": best, "detector": detector, "flagged": flagged, "features": features}
+    if path is not None:
+        writers.write_metrics(metrics, f"{path}/metrics")
+        out["flagged"] = flagged = stage(flagged)
+        writers.write_table(flagged.select("row", "predicted", "score"), f"{path}/flags", sort=("row",))
+        detector.save(f"{path}/model")
+        out["clean"] = writers.write_if_clean(df, flagged, f"{path}/anomaly_free")
+    return out

@@ -7,6 +7,7 @@ from sensorlab.operators.align import asof_join, measure_merge, weather_join, zo
 from sensorlab.operators.gaps import gap_intervals, gap_summary
 from sensorlab.operators.ordered import densify, upsample
 from sensorlab.session import stage
+from sensorlab.sources import writers
 
 
 def build_readings(humidity: DataFrame, temperature: DataFrame, step: str = "1 minute", order: str = "event_id") -> DataFrame:
@@ -27,12 +28,15 @@ def align_readings(readings: DataFrame, weather: DataFrame, coarse: bool, zones=
 
 
 def ingest(humidity: DataFrame, temperature: DataFrame, weather: DataFrame, coarse: bool = True, step: str = "1 minute",
-           interval: str = "15 minutes", **options) -> dict:
-    """The whole flow; every entry is a frame. The merged and the aligned table are staged, as each is read several times."""
+           interval: str = "15 minutes", path: str = None, **options) -> dict:
+    """The whole flow; every entry is a frame. The merged and the aligned table are staged, as each is read several times.
+
+    With ``path`` the tables (CSV) and the reports (JSON lines) are written below it.
+    """
     merged = stage(build_readings(humidity, temperature, step))
     aligned = stage(align_readings(merged, weather, coarse, step=step, **options))
     gaps = gap_intervals(aligned, interval)
-    return {
+    out = {
         "merged": merged,
         "aligned": aligned,
         "missing_before": missing_percentages(merged, ["zone"]),
@@ -41,3 +45,9 @@ def ingest(humidity: DataFrame, temperature: DataFrame, weather: DataFrame, coar
         "gap_summary": gap_summary(gaps),
         "statistics": data_statistics(aligned),
     }
+    if path is not None:
+        for name in ("merged", "aligned", "gaps"):
+            writers.write_table(out[name], f"{path}/{name}")
+        for name in ("missing_before", "missing_after", "gap_summary", "statistics"):
+            writers.write_metrics(out[name], f"{path}/{name}")
+    return out
