@@ -2,7 +2,7 @@
 
 A model is a pair of a group and a setting. Every row belongs to one group and takes part in all settings, so a grid
 search over folds is one group with many settings, and models by zone and period are many groups with one setting. Rows
-are binned once into blocks. A step is one job: each task adds up the gradients of its blocks by model, node, feature and
+are binned once into blocks. A step is one job over all models: each task adds up the gradients of its blocks by model, node, feature and
 bin, the sums meet by (model, node), and only the chosen splits come to the driver. Models don't wait for each other: a
 model whose tree is done starts its next one while others still split. Fewer trees of a setting are a prefix of its
 longest run, so the number of trees is read off one run.
@@ -13,6 +13,7 @@ sides. Draws of rows and columns depend on the row's key and the tree's number o
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,6 +28,8 @@ from sensorlab.session import stage
 BINS = 64
 BLOCK_ROWS = 4096
 PENDING = 8
+#: Binned rows that are sent to all tasks at most.
+SENT_BYTES = 32 << 20
 PENALTY, LEAST_HESSIAN, LEAST_GAIN = 1.0, 1.0, 1e-6
 
 BLOCK = "n int, groups binary, labels binary, folds binary, draws binary, bins binary, margins binary, tallies binary"
@@ -59,11 +62,10 @@ class Tree:
 
 @dataclass
 class Boosted:
-    """The trees of every model (group * settings + setting), counts of held-out rows by model and tree number, final blocks."""
+    """The trees of every model (group * settings + setting), and counts of held-out rows by model and tree number."""
 
     trees: list[list[Tree]]
     tallies: dict[tuple[int, int], np.ndarray] = field(default_factory=dict)
-    blocks: DataFrame = None
 
 
 # --- binning ----------------------------------------------------------------------------------
@@ -176,6 +178,24 @@ class _Block:
         node = self.walk(feature, cut)
         self.margins += value[self.models, node]
 
+    def add_counted(self, late: list, added: np.ndarray, ends: np.ndarray, held: np.ndarray, counts_at: tuple) -> list:
+        """Adds waiting trees; after the tree numbers asked for, (number, model, 2 * label + predicted, n) of held-out rows."""
+        out = []
+        for k, t in enumerate(late):
+            self.add(t)
+            for number in counts_at:
+                here = (added + k + 1 == number) & (ends >= number)
+                if here.any():
+                    i, j = np.nonzero(here[self.models] & (self.folds[:, None] == held))
+                    kind = self.labels[i].astype(np.int64) * 2 + (self.margins[i, j] > 0)
+                    model, many = np.unique(self.models[i, j].astype(np.int64) * 4 + kind, return_counts=True)
+                    out.append(np.stack([np.full(len(model), number), model // 4, model % 4, many], axis=1))
+        return out
+
+    def catch_up(self, run: _Run, added: np.ndarray, counts_at: tuple) -> list:
+        ends = run.lengths()
+        return self.add_counted(run.waiting(added), added, ends, run.held, counts_at) if (ends > added).any() else []
+
 
 def _blocks(batches, features, settings):
     for batch in batches:
@@ -249,140 +269,209 @@ class _Growing:
         return out
 
 
-def boost(blocks: DataFrame, widths: list[int], settings: list[Setting], groups: int = 1, weights: np.ndarray = None, counts_at=(), seed: int = 42, pending: int = PENDING) -> Boosted:
+class _Run:
+    """What a set of models has grown so far, and the step it asks for next."""
+
+    def __init__(self, widths: list[int], settings: list[Setting], weights: np.ndarray, seed: int):
+        self.widths, self.settings, self.weights, self.seed = widths, settings, weights, seed
+        self.features, self.starts = len(widths), np.concatenate([[0], np.cumsum(widths)]).astype(np.int64)
+        self.models = len(weights) * len(settings)
+        self.trees: list[list[Tree]] = [[] for _ in range(self.models)]
+        self.growing = {m: _Growing() for m in range(self.models) if weights[m // len(settings)] > 0 and self.of(m).trees > 0}
+        self.held, self.share = np.array([s.held for s in settings]), np.array([s.rows for s in settings])
+
+    def of(self, m: int) -> Setting:
+        return self.settings[m % len(self.settings)]
+
+    def lengths(self) -> np.ndarray:
+        return np.array([len(t) for t in self.trees], np.int64)
+
+    def waiting(self, added: np.ndarray) -> list[tuple]:
+        """The trees that aren't in the margins yet, the first one of every model, the second one, and so on."""
+        most = int((self.lengths() - added).max(initial=0))
+        return [_packed([t[a + k] if a + k < len(t) else None for t, a in zip(self.trees, added)]) for k in range(most)]
+
+    def step(self) -> tuple:
+        """The trees at hand, the number of every open node, numbers of the trees, and (model, node) of the open nodes."""
+        slots = [(m, node) for m, tree in self.growing.items() for node in sorted(tree.open)]
+        partial = _packed([self.growing[m].tree() if m in self.growing else None for m in range(self.models)])
+        slot_of = np.full(partial[0].shape, -1, np.int32)
+        for k, (m, node) in enumerate(slots):
+            slot_of[m, node] = k
+        return partial, slot_of, self.lengths(), slots
+
+    def sums(self, block: _Block, step: tuple) -> np.ndarray:
+        """Gradient and hessian of a block's rows by open node and bin."""
+        partial, slot_of, numbers, slots = step
+        many = len(slots)
+        total = np.zeros((many, self.starts[-1], 2))
+        slot = slot_of[block.models, block.walk(partial[0], partial[1])]
+        taking = (slot >= 0) & (block.folds[:, None] != self.held)
+        if (self.share < 1).any():
+            taking &= drawn_rows(block.draws, numbers[block.models], self.share, self.seed)
+        row, column = np.nonzero(taking)
+        slot = slot[row, column].astype(np.int64)
+        p = 1 / (1 + np.exp(-block.margins[row, column].astype(float)))
+        y = block.labels[row]
+        w = np.where(y == 1, self.weights[block.groups[row]], 1.0)
+        g, h = (p - y) * w, np.maximum(p * (1 - p), 1e-16) * w
+        for f, (first, width) in enumerate(zip(self.starts, self.widths)):
+            place = slot * width + block.bins[row, f]
+            for k, v in enumerate((g, h)):
+                total[:, first : first + width, k] += np.bincount(place, v, many * width).reshape(many, width)
+        return total
+
+    def best(self, m: int, number: int, sums: np.ndarray) -> tuple:
+        return best_split(sums, self.starts, drawn_columns(number, self.of(m).drawn(self.features), self.features, self.seed))
+
+    def split(self, slots: list, found: dict[int, tuple]) -> None:
+        """Takes the splits of the open nodes; trees without open nodes are done. A node that no row reached is a leaf of 0."""
+        for k, (m, node) in enumerate(slots):
+            self.growing[m].split(node, self.of(m), *found.get(k, ((0.0, -1, 0, 0.0, 0.0), 0.0, 0.0)))
+        for m in [m for m, tree in self.growing.items() if not tree.open]:
+            self.trees[m].append(self.growing[m].tree())
+            if len(self.trees[m]) >= self.of(m).trees:
+                del self.growing[m]
+            else:
+                self.growing[m] = _Growing()
+
+
+def boost(blocks: DataFrame, widths: list[int], settings: list[Setting], groups: int = 1, weights: np.ndarray = None, counts_at=(), seed: int = 42,
+          pending: int = PENDING, sent_bytes: int = SENT_BYTES) -> Boosted:
     """Grow all models on the blocks; ``widths`` are the features' numbers of bins, ``weights`` what a label 1 weighs in each group.
 
     ``counts_at`` are the tree numbers after which each model's held-out rows are counted: right and wrong ones by label.
-    A group weight of 0 leaves the group's models without trees.
+    A group weight of 0 leaves the group's models without trees. As with a join's small side, binned rows of up to
+    ``sent_bytes`` are sent to tasks that each grow some models; beyond, rows stay where they are and sums travel. The
+    steps, and the trees but for rounding, are the same.
     """
-    spark, size = blocks.sparkSession, len(settings)
-    models = groups * size
-    features, starts = len(widths), np.concatenate([[0], np.cumsum(widths)]).astype(np.int64)
-    offset = starts[:-1]
-    of = lambda m: settings[m % size]
     weight = np.ones(groups) if weights is None else np.asarray(weights, float)
-    held, share = np.array([s.held for s in settings]), np.array([s.rows for s in settings])
-    trees: list[list[Tree]] = [[] for _ in range(models)]
-    added = np.zeros(models, np.int64)  # trees that are in the staged margins
-    growing: dict[int, _Growing] = {m: _Growing() for m in range(models) if weight[m // size] > 0 and of(m).trees > 0}
-    out = Boosted(trees, {}, blocks)
-
-    def waiting() -> list[tuple]:
-        most = max((len(t) - a for t, a in zip(trees, added)), default=0)
-        return [_packed([t[a + k] if a + k < len(t) else None for t, a in zip(trees, added)]) for k in range(most)]
-
-    while growing:
-        slots = [(m, node) for m, tree in growing.items() for node in sorted(tree.open)]
-        partial = _packed([growing[m].tree() if m in growing else None for m in range(models)])
-        slot_of = np.full(partial[0].shape, -1, np.int32)
-        for k, (m, node) in enumerate(slots):
-            slot_of[m, node] = k
-        numbers = np.array([len(t) for t in trees], np.int64)
-        sent = spark.sparkContext.broadcast((waiting(), partial, slot_of, numbers, len(slots)))
+    run, counts_at = _Run(widths, settings, weight, seed), tuple(counts_at)
+    rows = blocks.agg(F.sum("n")).first()[0] or 0
+    if rows * (len(widths) + 16) <= sent_bytes:
+        return _boost_sent(blocks, run, counts_at)
+    return _boost_dealt(blocks, run, counts_at, pending)
+
+
+def _boost_sent(blocks: DataFrame, run: _Run, counts_at: tuple) -> Boosted:
+    """Models are dealt to the tasks, the binned rows sent whole: they were checked to be few."""
+    spark, size = blocks.sparkSession, len(run.settings)
+    columns = ("n", "groups", "labels", "folds", "draws", "bins")
+    held = blocks.select(*columns).collect()
+    whole = {c: b"".join(bytes(r[c]) for r in held) for c in columns[1:]} | {"n": sum(r["n"] for r in held)}
+    sent = spark.sparkContext.broadcast((whole, run.widths, run.settings, run.weights, run.seed))
+    shape = pa.schema([("model", pa.int32()), ("grown", pa.binary())])
+
+    def grow(batches):
+        whole, widths, settings, weights, seed = sent.value
+        rows = {"groups": np.int32, "labels": np.uint8, "folds": np.int16, "draws": np.int64}
+        rows = {c: np.frombuffer(whole[c], kind) for c, kind in rows.items()}
+        bins = np.frombuffer(whole["bins"], np.uint8).reshape(-1, len(widths))
+        for batch in batches:
+            numbers = np.array(batch.column("model"), np.int64)
+            for group in np.unique(numbers // size):
+                own = np.flatnonzero(rows["groups"] == group)
+                mine = numbers[numbers // size == group]
+                few = [settings[m % size] for m in mine]
+                some = _Run(widths, few, weights[group : group + 1], seed)
+                block = _Block({"n": len(own), "groups": np.zeros(len(own), np.int32), **{c: rows[c][own] for c in ("labels", "folds", "draws")},
+                                "bins": bins[own], "margins": np.zeros((len(own), len(few)), np.float32)}, len(widths), len(few))
+                tallies, added = [], some.lengths()
+                while some.growing:
+                    step = some.step()
+                    sums = some.sums(block, step)
+                    some.split(step[3], {k: some.best(m, step[2][m], sums[k]) for k, (m, _) in enumerate(step[3])})
+                    tallies += block.catch_up(some, added, counts_at)
+                    added = some.lengths()
+                for k, m in enumerate(mine):
+                    counts = [(int(number), int(kind), int(n)) for t in tallies for number, model, kind, n in t if model == k]
+                    yield pa.RecordBatch.from_pydict({"model": [m], "grown": [pickle.dumps((some.trees[k], counts))]}, schema=shape)
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    models = spark.createDataFrame([(m,) for m in run.growing], "model int").repartition(max(1, min(tasks, len(run.growing))))
+    out = Boosted(run.trees)
+    for r in models.mapInArrow(grow, "model int, grown binary").collect():  # the trees, which the caller asked for
+        out.trees[r["model"]], counts = pickle.loads(r["grown"])
+        for number, kind, n in counts:
+            out.tallies.setdefault((r["model"], number), np.zeros(4, np.int64))[kind] += n
+    return out
+
+
+_SPLIT = pa.schema([("slot", pa.int32()), ("gain", pa.float64()), ("feature", pa.int32()), ("bin", pa.int32()), *[(c, pa.float64()) for c in ("gl", "hl", "g", "h")]])
+_SPLIT_DDL = "slot int, gain double, feature int, bin int, gl double, hl double, g double, h double"
+
+
+def _boost_dealt(blocks: DataFrame, run: _Run, counts_at: tuple, pending: int) -> Boosted:
+    """Rows stay where they are: a step is a job that adds up their gradients by open node and bin and chooses the splits."""
+    spark, size = blocks.sparkSession, len(run.settings)
+    added = np.zeros(run.models, np.int64)  # trees that are in the staged margins
+    out = Boosted(run.trees)
+    state = (run.widths, run.settings, run.weights, run.seed)
+    while run.growing:
+        step = run.step()
+        sent = spark.sparkContext.broadcast((run.waiting(added), step, state))
 
         def histograms(batches):
-            late, now, slot_of, numbers, many = sent.value
-            total = np.zeros((many, starts[-1], 2))
-            for _, block in _blocks(batches, features, size):
+            late, step, state = sent.value
+            here, total = _Run(*state), 0.0
+            for _, block in _blocks(batches, here.features, size):
                 for t in late:
                     block.add(t)
-                slot = slot_of[block.models, block.walk(now[0], now[1])]
-                taking = (slot >= 0) & (block.folds[:, None] != held)
-                if (share < 1).any():
-                    taking &= drawn_rows(block.draws, numbers[block.models], share, seed)
-                row, column = np.nonzero(taking)
-                slot = slot[row, column].astype(np.int64)
-                p = 1 / (1 + np.exp(-block.margins[row, column].astype(float)))
-                y = block.labels[row]
-                w = np.where(y == 1, weight[block.groups[row]], 1.0)
-                g, h = (p - y) * w, np.maximum(p * (1 - p), 1e-16) * w
-                for f in range(features):
-                    place = slot * widths[f] + block.bins[row, f]
-                    for k, v in enumerate((g, h)):
-                        total[:, offset[f] : offset[f] + widths[f], k] += np.bincount(place, v, many * widths[f]).reshape(many, widths[f])
-            some = np.flatnonzero(total.any(axis=(1, 2)))
-            yield pa.RecordBatch.from_pydict({"slot": pa.array(some, pa.int32()), "sums": pa.array([total[k].tobytes() for k in some], pa.binary())})
+                total = total + here.sums(block, step)
+            if np.ndim(total):
+                some = np.flatnonzero(total.any(axis=(1, 2)))
+                yield pa.RecordBatch.from_pydict({"slot": pa.array(some, pa.int32()), "sums": pa.array([total[k].tobytes() for k in some], pa.binary())})
 
         def splits(batches):
-            at, total = None, None
+            _, (_, _, numbers, slots), state = sent.value
+            here, at, total, rows = _Run(*state), None, None, []
 
             def found():
-                m, node = slots[at]
-                columns = drawn_columns(len_of[m], of(m).drawn(features), features, seed)
-                best, g, h = best_split(total, starts, columns)
-                return {"slot": [at], "gain": [best[0]], "feature": [best[1]], "bin": [best[2]], "gl": [best[3]], "hl": [best[4]], "g": [g], "h": [h]}
+                m, _ = slots[at]
+                best, g, h = here.best(m, numbers[m], total)
+                rows.append((at, *best, g, h))
 
-            len_of = sent.value[3]
-            rows = []
             for batch in batches:
                 for slot, sums in zip(batch.column("slot").to_pylist(), batch.column("sums")):
                     part = np.frombuffer(sums.as_buffer(), float).reshape(-1, 2)
-                    if slot != at:
-                        if at is not None:
-                            rows.append(found())
-                        at, total = slot, part.copy()
-                    else:
+                    if slot == at:
                         total += part
+                        continue
+                    if at is not None:
+                        found()
+                    at, total = slot, part.copy()
             if at is not None:
-                rows.append(found())
-            if rows:
-                yield pa.RecordBatch.from_pydict({name: [r[name][0] for r in rows] for name in rows[0]}, schema=_SPLIT)
+                found()
+                yield pa.RecordBatch.from_pydict(dict(zip(_SPLIT.names, map(list, zip(*rows)))), schema=_SPLIT)
 
         sums = blocks.select("n", "groups", "labels", "folds", "draws", "bins", "margins").mapInArrow(histograms, "slot int, sums binary")
         chosen = sums.repartition("slot").sortWithinPartitions("slot").mapInArrow(splits, _SPLIT_DDL).collect()  # a row for each open node
         sent.unpersist()
-        seen = set()
-        for r in chosen:
-            m, node = slots[r["slot"]]
-            seen.add(r["slot"])
-            growing[m].split(node, of(m), (r["gain"], r["feature"], r["bin"], r["gl"], r["hl"]), r["g"], r["h"])
-        for k in set(range(len(slots))) - seen:  # no row came there
-            m, node = slots[k]
-            growing[m].split(node, of(m), (0.0, -1, 0, 0.0, 0.0), 0.0, 0.0)
-        for m in [m for m, tree in growing.items() if not tree.open]:
-            trees[m].append(growing[m].tree())
-            if len(trees[m]) >= of(m).trees:
-                del growing[m]
-            else:
-                growing[m] = _Growing()
-        if not growing or max(len(t) - a for t, a in zip(trees, added)) >= pending:
-            out.blocks = blocks = _add_trees(blocks, waiting(), added.copy(), trees, features, settings, held, counts_at)
-            added = np.array([len(t) for t in trees], np.int64)
+        run.split(step[3], {r["slot"]: ((r["gain"], r["feature"], r["bin"], r["gl"], r["hl"]), r["g"], r["h"]) for r in chosen})
+        if not run.growing or (run.lengths() - added).max() >= pending:
+            blocks = _add_trees(blocks, run, added, counts_at)
+            added = run.lengths()
             if counts_at:
-                _count(out.tallies, blocks, models)
+                _count(out.tallies, blocks)
     return out
 
 
-_SPLIT = pa.schema([("slot", pa.int32()), ("gain", pa.float64()), ("feature", pa.int32()), ("bin", pa.int32()), *[(c, pa.float64()) for c in ("gl", "hl", "g", "h")]])
-_SPLIT_DDL = "slot int, gain double, feature int, bin int, gl double, hl double, g double, h double"
-
-
-def _add_trees(blocks, late, added, trees, features, settings, held, counts_at) -> DataFrame:
+def _add_trees(blocks: DataFrame, run: _Run, added: np.ndarray, counts_at: tuple) -> DataFrame:
     """The blocks with the waiting trees in their margins; held-out rows are counted after the tree numbers asked for."""
-    size, spark = len(settings), blocks.sparkSession
-    ends = np.array([len(t) for t in trees], np.int64)
-    sent = spark.sparkContext.broadcast(late)
+    spark, size, features = blocks.sparkSession, len(run.settings), run.features
+    sent = spark.sparkContext.broadcast((run.waiting(added), added, run.lengths(), run.held))
 
-    def run(batches):
+    def add(batches):
+        late, added, ends, held = sent.value
         for row, block in _blocks(batches, features, size):
-            tallies = []
-            for k, t in enumerate(sent.value):
-                block.add(t)
-                for number in counts_at:
-                    here = (added + k + 1 == number) & (ends >= number)
-                    if here.any():
-                        counted = here[block.models] & (block.folds[:, None] == held)
-                        i, j = np.nonzero(counted)
-                        kind = block.labels[i].astype(np.int64) * 2 + (block.margins[i, j] > 0)
-                        model, many = np.unique(block.models[i, j].astype(np.int64) * 4 + kind, return_counts=True)
-                        tallies.append(np.stack([np.full(len(model), number), model // 4, model % 4, many], axis=1))
+            tallies = block.add_counted(late, added, ends, held, counts_at)
             found = np.concatenate(tallies) if tallies else np.zeros((0, 4), np.int64)
             yield pa.RecordBatch.from_pylist([row | {"margins": block.margins.tobytes(), "tallies": found.astype(np.int64).tobytes()}], schema=_SCHEMA)
 
-    return stage(blocks.mapInArrow(run, BLOCK))
+    return stage(blocks.mapInArrow(add, BLOCK))
 
 
-def _count(tallies: dict, blocks: DataFrame, models: int) -> None:
+def _count(tallies: dict, blocks: DataFrame) -> None:
     """Adds the counts that the blocks carry: by model and tree number, of (label, predicted) = 00, 01, 10, 11."""
     def read(batches):
         for batch in batches:
