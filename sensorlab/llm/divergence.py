@@ -33,7 +33,7 @@ LETTER = np.zeros(256, dtype=bool)
 LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = LETTER[0x80:] = True
 
 #: Words that are counted together, path items that one tree of a task holds, node-ancestor combinations looked at together.
-WORDS = 4 << 20
+WORDS = 1 << 20
 TREE_ITEMS = 1 << 20
 STEP = 1 << 20
 

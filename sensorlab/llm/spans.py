@@ -2,11 +2,10 @@
 in a run that stands elsewhere before is removed.
 
 A run starts at every sentence and takes as many as needed for ``min_words`` words, at least ``min_sentences`` (or
-one, if it has ``long_words`` alone); so equal passages give equal runs wherever they stand. The queries also send the
-shortest run up to every sentence (``ends``), at most two rows a sentence, which covers repeated passages up to their
-last sentence. Each task keeps only its
-own first place of a run: a later place in the same task is not the first anywhere. So a run of a third of all
-documents costs one row a task.
+one, if it has ``long_words`` alone); so equal passages give equal runs wherever they stand. The shortest run up to every
+sentence is sent too, at most two rows a sentence, which covers repeated passages up to their last sentence. Each task
+keeps only its own first place of a run: a later place in the same task is not the first anywhere. So a run of a third
+of all documents costs one row a task.
 """
 
 from __future__ import annotations
@@ -83,73 +82,75 @@ def runs_both_ways(parts: list[str], min_sentences: int, min_words: int, long_wo
     return hashed(list(dict.fromkeys(ahead + back)), full, keys)
 
 
-def repeated_runs(rows: DataFrame, limits: tuple[int, int, int], buckets: int, ends: bool = False) -> DataFrame:
-    """(row, first, size): places of runs that aren't the first by (doc_id, row, sentence); null ids come last."""
-    find = runs_both_ways if ends else runs
+#: Runs that a task remembers, and later places that it holds, before it sends them.
+HELD = 500_000
+
+PLACES = "key long, late boolean, doc long, row long, first long, size long"
+
+
+def repeated_runs(rows: DataFrame, limits: tuple[int, int, int], held: int = HELD) -> DataFrame:
+    """(row, first, size): places of runs that aren't the first by (doc_id, row, sentence); null ids come last.
+
+    Places meet in partitions sorted by run, so nothing is held for a run but its last place.
+    """
+    shape = pa.schema([("key", pa.int64()), ("late", pa.bool_()), *[(c, pa.int64()) for c in ("doc", "row", "first", "size")]])
 
     def scatter(batches):
         local: dict[int, tuple[int, int, int, int]] = {}
-        late = ([], [], [])
+        late: list[tuple[int, int, int, int]] = []
         for batch in batches:
             for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text")):
                 doc = (1 << 63) - 1 if doc is None else doc
-                for first, size, key in find(sentences(text.as_py()), *limits):
+                for first, size, key in runs_both_ways(sentences(text.as_py()), *limits):
                     here, kept = (doc, row, first, size), local.get(key)
                     if kept is not None:
-                        later = max(here, kept)
-                        for column, value in zip(late, later[1:]):
-                            column.append(value)
+                        late.append(max(here, kept))
                         here = min(here, kept)
                     local[key] = here
-            if len(local) > 500_000:
-                yield from send(local, late)
-                local, late = {}, ([], [], [])
-        yield from send(local, late)
-
-    def send(local, late):
-        places = np.array(list(local.values()), np.int64).reshape(-1, 4)
-        keys = np.fromiter(local, np.int64, len(local))
-        bucket = (keys.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            take = order[cuts[k] : cuts[k + 1]]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "late": pa.array([False]), "packed": pa.array(
-                [np.column_stack([keys[take], places[take]]).tobytes()], pa.binary())})
-        for k in range(0, len(late[0]), 50_000):
-            part = np.array([c[k : k + 50_000] for c in late], np.int64).T
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(part[0, 0] % buckets)], pa.int32()), "late": pa.array([True]),
-                                              "packed": pa.array([np.ascontiguousarray(part).tobytes()], pa.binary())})
-
-    def settle(pdf):
-        import pandas as pd
-
-        places = np.frombuffer(b"".join(pdf.loc[~pdf["late"], "packed"]), np.int64).reshape(-1, 5)
-        order = np.lexsort((places[:, 3], places[:, 2], places[:, 1], places[:, 0]))
-        places = places[order]
-        again = np.zeros(len(places), bool)
-        again[1:] = places[1:, 0] == places[:-1, 0]
-        late = np.frombuffer(b"".join(pdf.loc[pdf["late"], "packed"]), np.int64).reshape(-1, 3)
-        return pd.DataFrame(np.concatenate([places[again][:, 2:], late]), columns=["row", "first", "size"])
-
-    sent = rows.select("row", "doc_id", "text").mapInArrow(scatter, "bucket int, late boolean, packed binary")
-    return sent.groupBy("bucket").applyInPandas(settle, "row long, first long, size long")
-
-
-def dedup_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 25, long_words: int = 40, ends: bool = False) -> DataFrame:
+                if len(late) > held:
+                    yield from send(np.zeros(0, np.int64), late, True)
+                    late = []
+            if len(local) > held:
+                yield from send(np.fromiter(local, np.int64, len(local)), list(local.values()), False)
+                local = {}
+        yield from send(np.zeros(0, np.int64), late, True)
+        yield from send(np.fromiter(local, np.int64, len(local)), list(local.values()), False)
+
+    def send(keys, places, late):
+        """Later places need no run to meet, so they are spread by their row."""
+        for k in range(0, len(places), 50_000):
+            part = np.array(places[k : k + 50_000], np.int64).reshape(-1, 4)
+            spread = part[:, 1] * 1_000_003 + part[:, 2] if late else keys[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(np.full(len(part), late)), *[pa.array(c) for c in part.T.copy()]], schema=shape)
+
+    def settle(batches):
+        last = None
+        for batch in batches:
+            keys, late = batch.column("key").to_numpy(), batch.column("late").to_numpy(zero_copy_only=False)
+            again = np.zeros(len(keys), bool)
+            if len(keys):
+                again[0] = last == keys[0]
+                again[1:] = keys[1:] == keys[:-1]
+                last = None if late[-1] else keys[-1]
+            # Late places come after all others; the first of them may have the key of the last other one.
+            again |= late
+            yield batch.filter(pa.array(again)).select(["row", "first", "size"])
+
+    sent = rows.select("row", "doc_id", "text").mapInArrow(scatter, PLACES)
+    return sent.repartition("key").sortWithinPartitions("late", "key", "doc", "row", "first").mapInArrow(settle, "row long, first long, size long")
+
+
+def dedup_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 25, long_words: int = 40) -> DataFrame:
     """All rows and columns of ``docs`` with the text that stays, and n_removed (sentences) and removed (the text cut out).
 
-    With ``ends`` a sentence goes if it lies in any long enough run of consecutive sentences that stands elsewhere
-    before, in the order of doc_id, then of rows. Without, only the shortest run from each start is compared (see
-    ``runs``), and the last sentences of a repeated passage may stay. So the first place of a passage stays whole, and a copied document loses all
-    its runs. Null and empty texts stay as they are; repeated rows are copies; an empty table gives
+    A sentence goes if it lies in any long enough run of consecutive sentences that stands elsewhere before, in the order
+    of doc_id, then of rows. So the first place of a passage stays whole, and a copied document loses all its runs. Null and empty texts stay as they are; repeated rows are copies; an empty table gives
     no rows; extra columns are kept, but for ones named as the added columns, ``row`` or ``cover``, which are replaced.
     """
-    spark = docs.sparkSession
     own = ["row", "cover", "n_removed", "removed"]
     base = docs.drop(*[c for c in docs.columns if c.lower() in own])
     kept = staged(base.withColumn("row", F.monotonically_increasing_id()), "rows")
-    places = repeated_runs(text_only(kept, "row"), (min_sentences, min_words, long_words), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ends)
+    places = repeated_runs(text_only(kept, "row"), (min_sentences, min_words, long_words))
     cover = places.groupBy("row").agg(F.collect_set(F.struct("first", "size")).alias("cover"))
     joined, names = kept.join(cover, "row", "left"), base.columns
 

@@ -50,7 +50,7 @@ def test_dedup_equals_plain_version(spark):
     for i, (doc, text) in sorted(enumerate(rows), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[0])):
         parts = spans.sentences(text or "")
         gone = set()
-        for first, size, key in spans.runs(parts, 2, 25, 40):
+        for first, size, key in spans.runs_both_ways(parts, 2, 25, 40):
             if key in seen:
                 gone |= set(range(first, first + size))
             seen.add(key)
@@ -96,10 +96,16 @@ def test_dedup_takes_repeated_passages_whole(spark):
     want = every_repeated_run(texts, 2, 25, 40)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for parts in (1, 5):
-        got = spans.dedup_spans(docs.repartition(parts), ends=True).orderBy("doc_id").collect()
+        got = spans.dedup_spans(docs.repartition(parts)).orderBy("doc_id").collect()
         assert [r["text"] for r in got] == want
-    short = [r["text"] for r in spans.dedup_spans(docs).orderBy("doc_id").collect()]
-    assert sum(map(len, short)) > sum(map(len, want))
+
+
+def test_a_task_of_many_copies_sends_its_places_in_parts(spark):
+    text = " ".join(f"w{j} x{j} y{j}." for j in range(40))
+    docs = spark.createDataFrame([(i, text) for i in range(300)], "doc_id long, text string").coalesce(1)
+    limits = (2, 25, 40)
+    many, few = (sorted(map(tuple, spans.repeated_runs(docs.selectExpr("doc_id AS row", "doc_id", "text"), limits, held).collect())) for held in (7, 500_000))
+    assert many == few and len({r[0] for r in many}) == 299 and min(r[0] for r in many) == 1
 
 
 def test_op5_and_the_pipeline_take_passages_whole(spark, tmp_path):
