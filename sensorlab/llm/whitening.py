@@ -202,16 +202,15 @@ def leading(times, dim: int, wanted: int, degree: int = DEGREE, seed: int = 0) -
     low, best, still = lowest(times, dim, rng), np.inf, 0
     for _ in range(ROUNDS):
         low = min(low, max(values[-1], 0.0))
-        high = max(values[-1], low + 0.1 * (values[wanted - 1] - low))
+        # Below LEAST_SHARE there are no components, so an interval that small only has to have a width.
+        high = max(values[-1], low + 0.1 * (values[wanted - 1] - low), low + 0.1 * LEAST_SHARE * values[0])
         residual = np.linalg.norm(vu[:, :wanted] - u[:, :wanted] * values[:wanted], axis=0).max() / values[0]
         still = 0 if residual < best / 2 else still + 1
         best = min(best, residual)
-        if high - low <= LEAST_SHARE * values[0] and high <= LEAST_SHARE * values[0]:
-            return np.maximum(values[:wanted], 0), u[:, :wanted]  # nothing is left beyond the block
         if residual <= AIM or (still >= 3 and residual <= ENOUGH):
             missed = probe(times, u[:, :wanted], low, high, values, degree, rng)
             if missed is None:
-                return values[:wanted], u[:, :wanted]
+                return np.maximum(values[:wanted], 0), u[:, :wanted]
             u = np.linalg.qr(np.concatenate([u[:, : width - PROBE], missed], axis=1))[0]
             values, u, vu = rayleigh_ritz(times, u)
             best, still = np.inf, 0
@@ -230,7 +229,7 @@ def probe(times, found: np.ndarray, low: float, high: float, values: np.ndarray,
 
     more = off(rng.standard_normal((len(found), min(PROBE, len(found) - found.shape[1]))))
     most, q, _ = rayleigh_ritz(times, off(damped(times, more, None, low, high, values[0], degree)))
-    return q if most[0] > values[found.shape[1] - 1] * (1 + 1e-9) else None
+    return q if most[0] > values[found.shape[1] - 1] * (1 + 1e-9) + 0.1 * LEAST_SHARE * values[0] else None
 
 
 def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
