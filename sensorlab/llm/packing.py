@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from sensorlab.llm.common import in_batches, staged, text_only
+from sensorlab.llm.common import staged, text_only
 
 #: Words whose ids a Python worker remembers, from task to task.
 MOST_WORDS = 600_000
@@ -150,7 +150,8 @@ def queued(rows: DataFrame) -> DataFrame:
     """The rows with ``first``: the tokens of their source that go before, over all chunks."""
     chunks = rows.groupBy("source", "chunk").agg(F.sum("n").alias("tokens"))
     earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("ahead"))
+    # Staged, so that its size is known and the ids aren't shuffled for it where it is small.
+    chunks = staged(chunks.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("ahead")), "ahead")
     return rows.join(chunks, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c"))).withColumn("first", F.col("before") + F.col("ahead")).drop("s", "c", "ahead", "before", "chunk")
 
 
@@ -218,7 +219,7 @@ class Deal:
     """
 
     def __init__(self, sizes: list[int], weights: list, window: int, lap: int = LAP):
-        self.window, self.sizes, self.segments, self.laps = window, list(sizes), [], {}
+        self.window, self.sizes, self.segments, self.laps, self.lines = window, list(sizes), [], {}, {}
         left, at = list(sizes), 0
         while sum(left) >= window:
             live = [w if n else 0 for w, n in zip(weights, left)]
@@ -285,18 +286,30 @@ class Deal:
                 number -= 1
             while self.taken(segment, queue, number + 1) <= here:
                 number += 1
+            ends, inside = self.line(segment, number, queue)
+            low, high = np.searchsorted(ends, (at, end), side="right") - 1
+            high = min(high + (ends[min(high, size)] < end), size)
+            a, b = ends[low:high].copy(), ends[low + 1 : high + 1].copy()
+            a[0], b[-1] = at, min(end, b[-1])
+            some = np.flatnonzero(b > a) if (b <= a).any() else slice(None)
+            windows = np.arange(window + number * size + low, window + number * size + high)
+            yield (a - first)[some], (b - a)[some], windows[some], (inside[low:high] + a - ends[low:high])[some]
+            at = int(ends[-1])
+
+    def line(self, segment: int, number: int, queue: int) -> tuple[np.ndarray, np.ndarray]:
+        """The queue's tokens up to every window's start and the lap's end, and its places there."""
+        if (segment, number, queue) not in self.lines:
+            if len(self.lines) > 4096:
+                self.lines.clear()
+            size, starts = self.segments[segment][2:4]
             sums, extras = self.lap(segment, number)
             each, low, high = int(sums[queue + 1] - sums[queue]), int(extras[queue]), int(extras[queue + 1])
-            w = np.arange(size + 1)
+            w = np.arange(size)
             # Extra tokens lie side by side over the windows, round and round: window v has those at v, v + size, ...
-            upto = lambda x, v: np.maximum(0, -((v - x) // size))  # noqa: B023, E731  how many of the first x are at window v
-            more = upto(high, w[:-1]) - upto(low, w[:-1])
-            ends = starts[queue] + self.taken(segment, queue, number) + np.concatenate([[0], np.cumsum(each + more)])
-            a, b = np.maximum(ends[:-1], at), np.minimum(ends[1:], end)
-            some = np.flatnonzero(a < b)
-            inside = int(sums[queue]) + upto(low, w[:-1])
-            yield a[some] - first, (b - a)[some], window + number * size + some, (inside + a - ends[:-1])[some]
-            at = int(ends[-1])
+            upto = lambda x: np.maximum(0, -((w - x) // size))  # noqa: E731  how many of the first x are at each window
+            ends = starts[queue] + self.taken(segment, queue, number) + np.concatenate([[0], np.cumsum(each + upto(high) - upto(low))])
+            self.lines[segment, number, queue] = ends.astype(np.int64), int(sums[queue]) + upto(low)
+        return self.lines[segment, number, queue]
 
 
 def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int = 1, shares: dict[str, float] | None = None) -> DataFrame:
@@ -331,24 +344,32 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int =
         placed = placed.join(pooled, F.col("row") == F.col("r"), "left").withColumns({
             "first": F.coalesce("place", "first"), "queue": F.coalesce("queue", F.lit(len(own)))})
 
-    def cut(batch):
-        names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-        out, held = {name: [] for name in names}, 0
-        for doc, n, packed, first, queue in zip(*[batch.column(c) for c in ("doc_id", "n", "ids", "first", "queue")]):
-            doc, n = doc.as_py(), n.as_py()
-            ids = np.frombuffer(packed.as_buffer(), "<u4" if wide else "<u2").astype("<u4")
-            for starts, lengths, windows, places in sent.value.pieces(queue.as_py(), first.as_py(), n):
-                out["doc_id"] += [doc] * len(starts)
-                out["doc_tokens"] += [n] * len(starts)
-                for name, values in (("start", starts), ("length", lengths), ("sequence_id", windows), ("offset", places)):
-                    out[name] += values.tolist()
-                out["ids"] += [ids[a : a + m].tobytes() for a, m in zip(starts.tolist(), lengths.tolist())]
-            held += 4 * n
-            if held > 4 << 20:
-                yield out
-                out, held = {name: [] for name in names}, 0
-        yield out
-
-    shape = pa.schema([(c, pa.binary() if c == "ids" else pa.int64()) for c in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")])
+    names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    shape = pa.schema([(c, pa.binary() if c == "ids" else pa.int64()) for c in names])
+
+    def cut(batches):
+        for batch in batches:
+            held, tokens = [], 0
+            for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n", "first", "queue")], batch.column("ids")):
+                held.append(row)
+                tokens += row[1]
+                if tokens > 1 << 20:
+                    yield laid_out(held)
+                    held, tokens = [], 0
+            if held:
+                yield laid_out(held)
+
+    def laid_out(rows):
+        """The pieces of some documents; a document's pieces follow each other, so all ids are one buffer."""
+        found = [list(sent.value.pieces(queue, first, n)) for _, n, first, queue, _ in rows]
+        starts, lengths, windows, places = (np.concatenate([p[k] for pieces in found for p in pieces]).astype(np.int64) for k in range(4))
+        many = [sum(len(p[0]) for p in pieces) for pieces in found]
+        ids = np.concatenate([np.frombuffer(r[4].as_buffer(), "<u4" if wide else "<u2") for r in rows]).astype("<u4")
+        offsets = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        docs = pa.array([r[0] for r in rows], pa.int64()).take(pa.array(np.repeat(np.arange(len(rows)), many)))
+        sizes = np.repeat(np.array([r[1] for r in rows], np.int64), many)
+        return pa.RecordBatch.from_arrays([docs, pa.array(starts), pa.array(lengths), packed, pa.array(sizes), pa.array(windows), pa.array(places)], schema=shape)
+
     placed = placed.select("doc_id", "n", "ids", "first", "queue")
-    return placed.mapInArrow(in_batches(cut, shape), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return placed.mapInArrow(cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
