@@ -14,6 +14,8 @@ documents take turns by the same rule.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -248,15 +250,19 @@ class Deal:
             at += length * size
         if sum(left):
             self._add(at, 1, 1, left, None, list(left))
-        self.starts = np.array([s[3] for s in self.segments], object).reshape(len(self.segments), len(sizes))
+        self.starts = [[s[3][k] for s in self.segments] for k in range(len(sizes))]
 
     def _add(self, at, laps, size, left, before, tokens):
+        """``before``: tokens of a lap of all queues before each, as whole numbers over one denominator."""
+        if before is not None:
+            below = math.lcm(*[b.denominator for b in before])
+            before = [int(b * below) for b in before] + [below]
         self.segments.append((at, laps, size, [n - m for n, m in zip(self.sizes, left)], before, tokens))
 
     def taken(self, segment: int, queue: int, laps: int) -> int:
         """Tokens of the queue in the first laps of a segment."""
         _, _, _, _, before, tokens = self.segments[segment]
-        return laps * tokens[queue] if before is None else int(laps * before[queue + 1]) - int(laps * before[queue])
+        return laps * tokens[queue] if before is None else laps * before[queue + 1] // before[-1] - laps * before[queue] // before[-1]
 
     def lap(self, segment: int, number: int) -> tuple[list[int], list[int]]:
         """Tokens of each queue for every window of the lap, and where their extra tokens begin (one more than queues)."""
@@ -272,7 +278,7 @@ class Deal:
     def pieces(self, queue: int, first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Starts (within the n tokens), lengths, windows and places there of a queue's tokens from ``first`` on."""
         end = first + n
-        segment = int(np.searchsorted(self.starts[:, queue], first, side="right")) - 1
+        segment = bisect_right(self.starts[queue], first) - 1
         at = first
         while at < end:
             window, laps, size, starts, _, _ = self.segments[segment]
