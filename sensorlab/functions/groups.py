@@ -24,56 +24,62 @@ def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:
     return df.join(lookup(stats), by, "left")
 
 
-def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = 200_000) -> DataFrame:
+#: Buckets that a pass of the quantiles cuts an interval into.
+BUCKETS = 4096
+
+
+def quantiles(df: DataFrame, cols, probs, by=(), buckets: int = BUCKETS) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per group, measure and probability.
 
-    ``percentile`` would buffer a whole group in one task. Here a bounded sketch first brackets
-    each wanted rank, the rows below the bracket are only counted, and only the values inside it
-    are ordered. Groups of up to ``small`` values are bracketed by their own extremes.
+    ``percentile`` would buffer a whole group in one task. Here every wanted rank has an interval that holds it, at first
+    the group's whole range. A pass counts the values of each interval in ``buckets`` equal parts, with the least and the
+    largest value of each, and the part that holds the rank is the next interval, until only one value is left. Whatever
+    a group's size, a pass shuffles a row for each part at most, and no values are put in order. Infinite values and NaN
+    (larger than all others) have a part of their own.
     """
     by = list(by)
-    small, slack = accuracy // 2, 10.0 / accuracy
     group = [*by, "measure"]
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("m")).select(*by, "m.measure", "m.v").filter("v IS NOT NULL")
 
-    edges = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    sketch = lookup(long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
-        F.percentile_approx("v", [float(e) for e in edges], accuracy).alias("edge")))
-    brackets = sketch.withColumn("brackets", F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.when(F.col("n") <= small, F.col("low")).otherwise(F.col("edge")[i]).alias("lo"),
-            F.when(F.col("n") <= small, F.col("high")).otherwise(F.col("edge")[len(probs) + i]).alias("hi"),
-        ) for i, p in enumerate(probs)
-    ])).select(*group, "n", "brackets")
-
-    counted = (
-        long.join(brackets, group)
-        .select(*group, "n", "v", F.inline("brackets"))
-        .filter("v <= hi")
-        .groupBy(*group, "n", "prob", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("value"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    order = Window.partitionBy(*group, "n", "prob").orderBy(F.col("value").asc_nulls_first())
+    place = lambda p: F.lit(float(p)) * (F.col("n") - 1)
+    ranks = F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("side"), way(place(p)).cast("long").alias("rank"))
+        for p in dict.fromkeys(probs) for side, way in ((0, F.floor), (1, F.ceil))])
+    ends = long.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    state = lookup(ends.select(*group, "n", F.lit(0).cast("long").alias("below"), "lo", "hi", F.inline(ranks)))
+    lo, hi, v = F.col("lo"), F.col("hi"), F.col("v")
+    odd = F.isnan(hi) | (F.abs(lo) == float("inf")) | (F.abs(hi) == float("inf"))
+    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    part = F.when(odd, F.when(v == lo, 0).when(v == hi, buckets - 1).otherwise(1)).otherwise(
+        F.least(F.floor(share * buckets), F.lit(buckets - 1))).cast("int")
+    upto = F.sum("c").over(Window.partitionBy(*group, "below").orderBy("part"))
+    while True:
+        intervals = lookup(state.filter(lo < hi).select(*group, "below", "lo", "hi").distinct())
+        if intervals.isEmpty():
+            break
+        counted = (
+            long.join(intervals, group).filter((v >= lo) & (v <= hi)).withColumn("part", part)
+            .groupBy(*group, "below", "part").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+            .withColumn("upto", F.col("below") + upto))
+        now = F.col("rank")
+        holds = (F.col("upto") - F.col("c") <= now) & (now < F.col("upto"))
+        names = [*group, "n", "prob", "side", "rank"]
+        found = state.filter(lo < hi).drop("lo", "hi").join(counted, [*group, "below"]).filter(holds).select(
+            *names, (F.col("upto") - F.col("c")).alias("below"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+        state = lookup(state.filter(~(lo < hi)).select(*found.columns).unionByName(found))
+
+    found = state.groupBy(*group, "prob", "n").agg(
+        F.max(F.when(F.col("side") == 0, lo)).alias("v0"), F.max(F.when(F.col("side") == 1, lo)).alias("v1"))
     position = F.col("prob") * (F.col("n") - 1)
-    ranked = counted.withColumn("upto", F.sum("c").over(order)).filter("value IS NOT NULL").withColumn("position", position)
-
-    def at(rank):
-        return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("value")))
-
-    found = ranked.groupBy(*group, "prob", "n", "position").agg(
-        at(F.floor("position")).alias("v0"), at(F.ceil("position")).alias("v1"))
-    value = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("position") - F.floor("position"))
-    return found.select(*group, "prob", "n", F.when(F.col("v0").isNotNull() & F.col("v1").isNotNull(), value)
-                        .otherwise(F.raise_error(F.lit("quantile outside its bracket"))).alias("value"))
+    step = F.when(F.col("v0") == F.col("v1"), F.lit(0.0)).otherwise((F.col("v1") - F.col("v0")) * (position - F.floor(position)))
+    return found.select(*group, "prob", "n", (F.col("v0") + step).alias("value"))
 
 
-def quantile_columns(df: DataFrame, cols, probs: dict, by=(), accuracy: int = 200_000) -> DataFrame:
+def quantile_columns(df: DataFrame, cols, probs: dict, by=(), buckets: int = BUCKETS) -> DataFrame:
     """Exact quantiles as columns ``{measure}_{name}``; ``probs`` maps names to probabilities."""
-    long = quantiles(df, cols, list(probs.values()), by, accuracy)
+    long = quantiles(df, cols, list(probs.values()), by, buckets)
     return long.groupBy(*by).agg(*[
         F.max(F.when((F.col("measure") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(f"{c}_{name}")
         for c in cols for name, p in probs.items()

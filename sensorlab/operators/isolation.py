@@ -2,16 +2,13 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorlab.functions.draws import uniform
-from sensorlab.functions.groups import attach, quantile_columns
+from sensorlab.functions.groups import attach, lookup, quantile_columns, with_models
 from sensorlab.session import stage
 
-#: Groups whose forests are sent to the tasks together.
-FOREST_GROUPS = 50
-
 
 def average_path(n):
     """Mean depth of an unsuccessful search among n points."""
@@ -71,8 +68,8 @@ def anomaly_score(points: np.ndarray, trees, sample: int) -> np.ndarray:
 def isolation_scores(df: DataFrame, features, key, by=(), trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
     """Adds ``score``. Nulls count as the group's median; ``key`` is a text column expression naming the row.
 
-    Sampling is part of the method: at most ``trees * sample`` rows per group are drawn by key, and each
-    tree takes up to ``sample`` of them. All rows are scored.
+    Sampling is part of the method: about ``trees * sample`` rows per group are drawn by key (all of a smaller group), and
+    each tree takes up to ``sample`` of them. All rows are scored.
     """
     by, features = list(by), list(features)
     middle = quantile_columns(df, features, {"mid": 0.5}, by)
@@ -81,11 +78,11 @@ def isolation_scores(df: DataFrame, features, key, by=(), trees: int = 100, samp
     ).drop(*[f"{f}_mid" for f in features])
     out = out.withColumn("_group", F.concat_ws("|", F.lit(""), *[F.col(b).cast("string") for b in by]))
 
-    most = trees * sample
-    drawn = Window.partitionBy("_group").orderBy(uniform(F.col("_key"), "pool", seed), "_key")
-    pool = out.select("_group", "_key", "_x").withColumn("_r", F.row_number().over(drawn)).filter(F.col("_r") <= most)
-    sizes = pool.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    pool = pool.join(sizes, "_group").withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    # Draws by thresholds on the key's hash: a group's rows are counted, never ranked.
+    sizes = lookup(out.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")))
+    most = float(trees * sample)
+    pool = out.select("_group", "_key", "_x").join(sizes, "_group").filter(uniform(F.col("_key"), "pool", seed) < most / F.col("_n"))
+    pool = pool.withColumn("_n", F.least("_n", F.lit(trees * sample))).withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     draw = F.pmod(F.xxhash64("_key", "_tree", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     pool = pool.withColumn("_u", draw).filter(F.col("_u") < 2.0 * sample / F.col("_n"))
     order = Window.partitionBy("_group", "_tree").orderBy("_u", "_key")
@@ -99,34 +96,17 @@ def isolation_scores(df: DataFrame, features, key, by=(), trees: int = 100, samp
         return pd.DataFrame({"_group": [rows["_group"].iloc[0]], "n": [len(rows)], **{k: [v] for k, v in tree.items()}})
 
     planted = stage(pool.groupBy("_group", "_tree").applyInPandas(plant, schema))
-    names = sorted(r["_group"] for r in planted.select("_group").distinct().collect())
-    scored = None
-    # Each broadcast holds the forests of up to FOREST_GROUPS groups: trees * (2 * sample - 1) nodes a group.
-    for first in range(0, max(len(names), 1), FOREST_GROUPS):
-        some = names[first:first + FOREST_GROUPS]
-        part = _with_scores(out, planted, some) if len(names) <= FOREST_GROUPS else _with_scores(out.filter(F.col("_group").isin(some)), planted, some)
-        scored = part if scored is None else scored.unionByName(part)
-    return scored.drop("_key", "_x", "_group")
-
-
-def _with_scores(rows: DataFrame, planted: DataFrame, names: list) -> DataFrame:
-    """Scores of the rows of some groups by their forests."""
-    forests = {}
-    for row in planted.filter(F.col("_group").isin(names)).collect():
-        size, forest = forests.setdefault(row["_group"], (row["n"], []))
-        forest.append({k: row[k] for k in ("feature", "threshold", "left", "right")})
-    shared = rows.sparkSession.sparkContext.broadcast(forests)
-
-    @pandas_udf(T.DoubleType())
-    def score(group: pd.Series, x: pd.Series) -> pd.Series:
-        result = np.zeros(len(x))
-        for name in group.unique():
-            at = np.flatnonzero((group == name).to_numpy())
-            size, forest = shared.value[name]
-            result[at] = anomaly_score(np.stack(x.to_numpy()[at]), forest, size)
-        return pd.Series(result)
-
-    return rows.withColumn("score", score("_group", "_x"))
+    forests = planted.groupBy("_group").agg(F.max("n").alias("n"), F.collect_list(F.struct("feature", "threshold", "left", "right")).alias("trees"))
+
+    def score(rows: pa.Table, forest: pa.Table) -> pa.Table:
+        if not forest.num_rows:
+            return rows.append_column("score", pa.nulls(rows.num_rows, pa.float64()))
+        points = np.stack([np.asarray(x) for x in rows.column("_x").to_pylist()])
+        found = anomaly_score(points, forest.column("trees")[0].as_py(), forest.column("n")[0].as_py())
+        return rows.append_column("score", pa.array(found))
+
+    # Forests meet the rows of their group by a join, a hot group in many pieces.
+    return with_models(out, forests, ["_group"], F.col("_key"), score, "score double").drop("_key", "_x", "_group")
 
 
 def isolation_labels(df: DataFrame, features, key, out: str, by=(), contamination: float = 0.001, **options) -> DataFrame:

@@ -5,13 +5,18 @@ from pyspark.sql import DataFrame, functions as F
 from sensorlab.schema import KEYS, TIME
 
 
+#: Tasks that the days of one folder are dealt to, before adaptive execution.
+PIECES = 16
+
+
 def write_table(df: DataFrame, path: str, format: str = "csv", partition_by=("zone",), sort=(*KEYS, TIME)) -> None:
     """One folder per partition value, each file sorted by series and time."""
     order = [c for c in sort if c in df.columns]
     parts = [c for c in partition_by if c in df.columns]
     if parts:
-        # Adaptive execution splits what is large, so that one large zone or day is written by many tasks.
-        df = df.hint("rebalance", *[F.col(c) for c in parts])
+        # A large zone is written by many tasks from the start, and adaptive execution splits what is still large.
+        days = F.pmod(F.xxhash64(F.to_date(TIME)), F.lit(PIECES)) if TIME in df.columns else F.lit(0)
+        df = df.withColumn("_piece", days).hint("rebalance", *[F.col(c) for c in parts], F.col("_piece")).drop("_piece")
     writer = df.sortWithinPartitions(*[*parts, *[c for c in order if c not in parts]]).write.mode("overwrite")
     writer = writer.partitionBy(*parts) if parts else writer
     if format == "csv":
