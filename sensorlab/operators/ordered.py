@@ -33,26 +33,24 @@ def neighbours(df: DataFrame, cols=MEASURES, keys=KEYS, time: str = TIME, chunk:
     adjoining it on the side of the gap. Without ``detail`` the structs hold ``ts, rn, v`` only.
     Null is missing. ``sides`` limits the work to one side ("p" or "n").
 
-    A first pass finds the outermost valid rows of each chunk, one row per chunk. The second pass
-    windows over the chunks again with two extra rows, one at each end, that stand for everything
-    before and after the chunk.
+    A first pass finds the outermost valid rows of each chunk, one row per chunk, and a scan over these carries them
+    across chunks. The second pass has that row at the head of its chunk: it stands for everything before the chunk, and
+    hands what comes after it to all rows.
     """
     keys, cols = list(keys), list(cols)
     order = list(order or cols)
     group = [*keys, "_chunk"]
     base = with_chunk(df, time, chunk).withColumns({"_ts": micros(time), "_side": F.lit(0)})
     ends = _chunk_ends(base, cols, keys, group, order, detail)
+    after = [f"_{c}_after" for c in cols]
     heads = ends.select(
-        *group, F.lit(-1).alias("_side"), F.col("_prev_to").alias("_ts"), "_offset", "_first", "_last",
+        *group, F.lit(-1).alias("_side"), F.col("_prev_to").alias("_ts"), "_offset", "_first", "_last", "_next_from", *after,
         *[F.col(f"_{c}_before").alias(f"_{c}_end") for c in cols])
-    tails = ends.select(
-        *group, F.lit(1).alias("_side"), F.col("_next_from").alias("_ts"),
-        *[F.col(f"_{c}_after").alias(f"_{c}_end") for c in cols])
-    rows = base.unionByName(heads, True).unionByName(tails, True)
+    rows = base.unionByName(heads, True)
     up = Window.partitionBy(*group).orderBy("_side", "_ts", *order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({n: F.max(n).over(up) for n in ("_offset", "_first", "_last")})
+    rows = rows.withColumns({n: F.first(n).over(up) for n in ("_offset", "_first", "_last", "_next_from", *after)})
     near = _near_in_chunk(rows, cols, group, order, detail, sides).filter("_side = 0")
-    return near.drop("_chunk", "_side", "_offset", *[f"_{c}_end" for c in cols])
+    return near.drop("_chunk", "_side", "_offset", "_next_from", *after, *[f"_{c}_end" for c in cols])
 
 
 def _near_in_chunk(rows: DataFrame, cols, group, order, detail: bool, sides: str) -> DataFrame:
@@ -72,14 +70,25 @@ def _near_in_chunk(rows: DataFrame, cols, group, order, detail: bool, sides: str
         return F.coalesce(F.when(F.col(c).isNotNull(), F.struct(
             F.col("_ts").alias("ts"), F.col("_rn").alias("rn"), F.col(c).alias("v"), *(more if detail else []))), F.col(f"_{c}_end"))
 
+    def onward(c):
+        """The next valid row, in the chunk or after it; its second one may lie after the chunk too."""
+        own, far = F.col(f"_{c}_n"), F.col(f"_{c}_after")
+        if not detail:
+            return F.coalesce(own, far)
+        ts2, v2 = F.coalesce(own["ts2"], far["ts"]), F.when(own["ts2"].isNotNull(), own["v2"]).otherwise(far["v"])
+        return F.when(own.isNotNull(), F.struct(
+            own["ts"].alias("ts"), own["rn"].alias("rn"), own["v"].alias("v"), ts2.alias("ts2"), v2.alias("v2"), own["edge"].alias("edge"))).otherwise(far)
+
     if detail:
-        out = out.withColumns({"_above": F.lead("_ts").over(up), "_below": F.lag("_ts").over(up)})
+        out = out.withColumns({"_above": F.coalesce(F.lead("_ts").over(up), "_next_from"), "_below": F.lag("_ts").over(up)})
     for side, order_by, edge in (("p", up, "_above"), ("n", down, "_below")):
         if side not in sides:
             continue
         if detail:
             out = out.withColumns({f"_{c}_2": F.last(bare(c), True).over(order_by.rowsBetween(start, -1)) for c in cols})
         out = out.withColumns({f"_{c}_{side}": F.last(point(c, edge), True).over(order_by.rowsBetween(start, 0)) for c in cols})
+    if "n" in sides:
+        out = out.withColumns({f"_{c}_n": onward(c) for c in cols})
     return out.drop("_above", "_below", *[f"_{c}_2" for c in cols])
 
 
