@@ -65,13 +65,12 @@ def densify(spark, d):
     return dense(spark, d)
 
 
-@query(f"""WITH {READINGS}, src AS (SELECT {K}, time, temperature, humidity FROM readings WHERE extract(minute FROM time) <> 45 OR device_id > 0),
+@query(f"""WITH {READINGS}, src AS (SELECT {K}, time, temperature, humidity FROM readings),
 span AS (SELECT {K}, min(time) AS lo, max(time) AS hi FROM src GROUP BY {K}),
 grid AS (SELECT {K}, unnest(generate_series(lo, hi, INTERVAL 30 MINUTE)) AS time FROM span)
 SELECT {K}, time, coalesce(temperature, -1) AS temperature, coalesce(humidity, -1) AS humidity FROM grid LEFT JOIN src USING ({K}, time)""")
 def densify_off_grid(spark, d):
-    src = readings(spark, d).filter("extract(minute FROM time) <> 45 OR device_id > 0")
-    return ordered.densify(src, "30 minutes")
+    return ordered.densify(readings(spark, d), "30 minutes")
 
 
 _SYNC = f"""WITH {READINGS},

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sensorlab import fixtures
 from sensorlab.checks.align import M, aligned, holes
 from sensorlab.checks.quality import cleaned
+from sensorlab.checks.quality import tier_sql
 from sensorlab.checks.registry import CLEAN, HOLES, K, READINGS, WEATHER, clean, hermite_sql, linear_sql, near_sql, query, rnd, rounded
 from sensorlab.operators import align, analog, fills, ordered, patterns
 
@@ -204,11 +205,7 @@ def pattern_values_weather(spark, d):
 
 
 @query(f"""{_pattern('least(1, days / 365) + wd * 2')}
-SELECT {K}, time, {rnd(f'coalesce({C}, pattern.value)')} AS {C} FROM near LEFT JOIN pattern USING ({K}, rn)
-WHERE {C} IS NOT NULL OR pattern.rn IS NOT NULL""")
+SELECT {K}, time, {rnd(f'coalesce({tier_sql(C, 0, 21600, 0)}, pattern.value)')} AS {C} FROM near LEFT JOIN pattern USING ({K}, rn)""")
 def fill_tiered_pattern(spark, d):
     table = holes(spark, d).drop("humidity")
-    out = fills.fill_tiered(table, [C], short="0 minutes", medium="6 hours", limit=0, long_gap="pattern")
-    short = fills.fill_tiered(table, [C], short="0 minutes", medium="6 hours", limit=0).filter(f"{C} IS NOT NULL")
-    only_tier = short.join(table.filter(f"{C} IS NOT NULL").select(*KEYS, "time"), [*KEYS, "time"], "left_anti")
-    return rounded(out.filter(f"{C} IS NOT NULL").join(only_tier.select(*KEYS, "time"), [*KEYS, "time"], "left_anti"))
+    return rounded(fills.fill_tiered(table, [C], short="0 minutes", medium="6 hours", limit=0, long_gap="pattern"))

@@ -37,13 +37,13 @@ def validate(df: DataFrame, cols) -> bool:
     """Required columns are present, numeric and finite; raises otherwise."""
     absent = sorted(set(cols) - set(df.columns))
     if absent:
-        raise ValueError(f"Missing required columns: {absent}")
+        raise ValueError(f"the table lacks {absent}")
     for c in cols:
         if not isinstance(df.schema[c].dataType, T.NumericType):
-            raise ValueError(f"Column {c} must be numeric")
+            raise ValueError(f"{c} holds {df.schema[c].dataType.simpleString()}, not numbers")
     infinite = reduce(lambda a, b: a | b, [F.abs(F.col(c)) == F.lit(float("inf")) for c in cols])
     if not df.filter(infinite).isEmpty():
-        raise ValueError("Data contains infinite values")
+        raise ValueError(f"an infinite value in one of {list(cols)}")
     return True
 
 
@@ -51,7 +51,7 @@ def require_no_nulls(df: DataFrame, cols=None) -> DataFrame:
     """Raise if any of the columns holds a null, else return the frame unchanged."""
     cols = list(cols or df.columns)
     if not df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])).isEmpty():
-        raise ValueError("Null values remain after preprocessing")
+        raise ValueError(f"a null is left in one of {cols}")
     return df
 
 

@@ -55,7 +55,8 @@ def fill_analog(df: DataFrame, reference: Column, target: Column, before: Column
     out = attach(df, trend.select(*keys, *[f"{c}_trend" for c in cols]), keys)
     for c in cols:
         near = knn_join(
-            ready.filter((F.col("_slice") == 1) & F.col(c).isNull()).dropDuplicates([*keys, time]).select(*keys, time, *names),
+            # Of several targets at one time, the one with the smallest features.
+            ready.filter((F.col("_slice") == 1) & F.col(c).isNull()).groupBy(*keys, time).agg(F.min(F.struct(*names)).alias("_least")).select(*keys, time, "_least.*"),
             ready.filter((F.col("_slice") == 0) & F.col(c).isNotNull()).select(*keys, F.col(time).alias("_at"), c, *names),
             names, k, [time], "_at", [c], keys)
         weight = 1 / (F.col("distance") + 1e-5)

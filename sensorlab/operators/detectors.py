@@ -400,7 +400,7 @@ def probability(scored: DataFrame, score: str = "score") -> DataFrame:
 
 def _fitted(model):
     if model is None:
-        raise ValueError("Model needs to be trained first")
+        raise ValueError("call fit or load before score or save")
     return model
 
 

@@ -103,7 +103,7 @@ def register(name: str, method) -> None:
 
 def impute(df: DataFrame, method: str, cols=MEASURES, **options) -> DataFrame:
     if method not in METHODS:
-        raise ValueError(f"Unknown method: {method}")
+        raise ValueError(f"{method!r} is none of {sorted(METHODS)}")
     return METHODS[method](df, cols, **options)
 
 

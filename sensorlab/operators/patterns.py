@@ -164,7 +164,7 @@ def long_gap_values(df: DataFrame, c: str, how: str = "pattern", longer_than: st
     if how == "seasonal":
         return seasonal.select(*keys, "_rn", "value")
     if how != "pattern":
-        raise ValueError(f"Unknown long-gap method: {how}")
+        raise ValueError(f"long gaps are filled by pattern or seasonal, not {how!r}")
 
     source = stage(fill_chain(df, env, keys, time, chunk) if env else df)
     dated = rows.withColumns({"date": F.to_date(time), "hour": F.hour(time)})
