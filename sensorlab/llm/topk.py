@@ -18,6 +18,8 @@ BLOCK = 128
 TASK_ROWS = 16_384
 QUERY_BLOCK = 4_096
 
+MOST = np.finfo(float).max
+
 INDEX = pa.schema([("size", pa.int32()), ("ids", pa.binary()), ("values", pa.binary()), ("high", pa.binary()), ("low", pa.binary())])
 
 
@@ -26,8 +28,11 @@ def whole_numbers(column: pa.Array, scale: float) -> dict[int, tuple[np.ndarray,
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     offsets = column.offsets.to_numpy()
-    values = np.floor(column.values.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False) * scale)
-    bad = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
+    components = column.values.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(components))])
+    with np.errstate(over="ignore", invalid="ignore"):
+        # A product beyond the doubles is held at their end; its scores are at the ends of the long range either way.
+        values = np.clip(np.floor(components * scale), -MOST, MOST)
     good = column.is_valid().to_numpy(zero_copy_only=False) & (bad[offsets[1:]] == bad[offsets[:-1]])
     sizes = np.diff(offsets)
     out = {}
@@ -39,7 +44,8 @@ def whole_numbers(column: pa.Array, scale: float) -> dict[int, tuple[np.ndarray,
 
 def products(queries: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers, exact: as doubles while no sum can leave their whole range, else as integers."""
-    most = np.abs(queries).max(initial=0.0) * np.abs(values).max(initial=0.0) * max(queries.shape[1], 1)
+    with np.errstate(over="ignore"):
+        most = np.abs(queries).max(initial=0.0) * np.abs(values).max(initial=0.0) * max(queries.shape[1], 1)
     if most < 2.0**53:
         return (queries @ values.T).astype(np.int64)
     exact = np.array([[int(x) for x in row] for row in queries], object) @ np.array([[int(x) for x in row] for row in values], object).T
@@ -71,8 +77,10 @@ def search_blocks(query_ids: np.ndarray, queries: np.ndarray, blocks: list, k: i
     scores, ids = np.full((n, k), np.iinfo(np.int64).min), np.full((n, k), np.iinfo(np.int64).max)
     filled = np.zeros((n, k), bool)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = up @ np.array([b[2] for b in blocks]).T + down @ np.array([b[3] for b in blocks]).T
-    bounds = np.nextafter(bounds, np.inf)  # sums beyond the whole range of doubles may be rounded
+    with np.errstate(over="ignore", invalid="ignore"):
+        bounds = up @ np.array([b[2] for b in blocks]).T + down @ np.array([b[3] for b in blocks]).T
+    # Sums beyond the whole range of doubles may be rounded, and where some are infinite, nothing is ruled out.
+    bounds = np.where(np.isfinite(bounds), np.nextafter(bounds, np.inf), np.inf)
     order = np.argsort(-bounds, axis=1, kind="stable")
     active = np.arange(n)
     for turn in range(len(blocks)):

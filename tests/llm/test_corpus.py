@@ -133,6 +133,39 @@ def test_alignment_equals_plain_smith_waterman():
     assert got.tolist() == want
 
 
+def plain_score(text, item):
+    """The best local alignment's share of the score of a whole copy."""
+    h = np.zeros((len(item) + 1, len(text) + 1), int)
+    for a in range(1, len(item) + 1):
+        for b in range(1, len(text) + 1):
+            h[a, b] = max(0, h[a - 1, b - 1] + (2 if item[a - 1] == text[b - 1] else -1), h[a - 1, b] - 1, h[a, b - 1] - 1)
+    return h.max() / (2 * len(item))
+
+
+def test_seeds_find_what_all_pairs_find(spark):
+    rng = random.Random(19)
+    word = lambda: "w%d" % min(rng.randrange(400), rng.randrange(400))
+    words = lambda n: [word() for _ in range(n)]
+    items = [words(rng.randrange(20, 45)) for _ in range(12)]
+    for item in items[:6]:
+        item[5:9] = ["which", "of", "the", "following"]  # a gram that many items share
+    texts = []
+    for i in range(90):
+        copy = []
+        share = rng.choice([0.0, 0.05, 0.15, 0.25])
+        for w in rng.choice(items):
+            kind = rng.random() / share if share else 9
+            copy += [word()] if kind < 0.5 else [w, word()] if kind < 0.75 else [] if kind < 1 else [w]
+        texts.append(words(rng.randrange(0, 60)) + (copy if i % 3 else words(30)) + words(rng.randrange(0, 40)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    want = {(i, k): plain_score(t, item) for i, t in enumerate(texts) for k, item in enumerate(items)}
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    sure = {pair for pair, score in want.items() if score >= 0.5}
+    assert len(sure) > 40 and set(got) == sure
+    assert all(abs(got[pair] - want[pair]) < 1e-9 for pair in got)
+
+
 def test_leaks_are_found_and_clean_documents_kept(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 7)
     rng = random.Random(9)
@@ -232,3 +265,11 @@ def test_large_components_stay_exact():
     big = np.array([[2.0**40, 3.0]])
     assert topk.products(big, big).tolist() == [[2**63 - 1]]
     assert topk.products(np.array([[2.0**30, 1.0]]), np.array([[2.0**30, 1.0]])).tolist() == [[2**60 + 1]]
+
+
+def test_a_large_finite_component_takes_part(spark):
+    rows = [(0, [1e307, 1.0]), (1, [1e307, -1.0]), (2, [-1e307, 2.0]), (3, [0.5, 0.25]), (4, [float("inf"), 1.0]), (5, [-0.5, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, 5).orderBy("query_id", "rank").collect()]
+    top, low = 2**63 - 1, -(2**63)
+    assert got == [(0, 1, 1, top), (0, 2, 3, top), (0, 3, 2, low), (0, 4, 5, low), (5, 1, 2, top), (5, 2, 3, -128 * 128 + 256 * 64), (5, 3, 0, low), (5, 4, 1, low)]
