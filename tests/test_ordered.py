@@ -184,13 +184,3 @@ def test_long_gaps_with_repeated_times(spark, series):
     table = series(rows + [(30, None, 41.0)])
     out = fills.fill_tiered(table, short="10 minutes", medium="20 minutes", long_gap="seasonal")
     assert out.count() == 82 and out.filter("temperature IS NULL").count() == 0
-
-
-def test_neighbours_read_the_table_twice(spark, tmp_path):
-    from sensorlab.operators import fills
-
-    spark.sql("""SELECT concat('Zone ', id % 2) AS zone, id % 4 AS device_id, 'h' AS house, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS time,
-      CASE WHEN id % 5 > 0 THEN DOUBLE(id) END AS temperature, DOUBLE(id) AS humidity FROM range(2000)""").write.parquet(str(tmp_path / "t"))
-    plan = fills.fill_linear(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
-    # One exchange for the chunks' ends, one for the rows with them, and between them one of a row for each chunk.
-    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 3
