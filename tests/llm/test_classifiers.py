@@ -1,5 +1,9 @@
+import zlib
+
 import pytest
+from pyspark.sql import functions as F
 
+from llm.conftest import WORDS
 from sensorlab.llm import quality, toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -48,3 +52,47 @@ def test_score_reads_no_label_language_or_source(spark, docs):
     other = docs.withColumn("source", docs.doc_id.cast("string"))
     a, b = (sorted((str(r["doc_id"]), r["score"]) for r in toxicity.score_toxicity(d, labels).collect()) for d in (docs, other))
     assert a == b
+
+
+def held_back_words(spark, rows=6600, late=400):
+    """Labelled texts of which those beyond the first 6,000, by the hash of their ids, hold words and a language of their own."""
+    ids = [r["doc_id"] for r in spark.range(1, 12 * rows).withColumnRenamed("id", "doc_id").filter(toxicity.fold(4) != 2)
+           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    docs, labels = [], []
+    for k, i in enumerate(ids):
+        new, toxic = k >= rows - late, k % 2
+        filler = f"river stone light {WORDS[k % len(WORDS)]} paper house"
+        docs.append((i, f"{filler} {('zorgle' if toxic else 'placid') if new else ('vile' if toxic else 'calm')} walks", "xx" if new else "en"))
+        labels.append((i, toxic))
+    texts = {"zorgle": 1, "placid": 0, "vile": 1, "calm": 0}
+    asked = [i for i in range(10 ** 7, 10 ** 7 + 100) if zlib.crc32(str(i).encode()) % 4 == 2][:4]
+    docs += [(i, f"river stone {word} walks", "xx") for i, word in zip(asked, texts)]
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int"), dict(zip(asked, texts.values()))
+
+
+@pytest.mark.parametrize("piece", [4096, 500])
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch, piece):
+    monkeypatch.setattr(toxicity, "PIECE_ROWS", piece)
+    docs, labels, asked = held_back_words(spark)
+    found = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, labels).filter("held_out").collect()}
+    assert {i: found[i]["predicted"] for i in asked} == asked
+    assert found[min(asked)]["threshold"] != 0.3  # of a language that only those rows have
+    kept = {r["doc_id"] for r in toxicity.drop_toxic(docs, labels).collect()}
+    assert kept & asked.keys() == {i for i, toxic in asked.items() if not toxic}
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    word = lambda i: " ".join(f"w{(i * 31 + k) % 50}" for k in range(12_000))
+    rows = [(i, f"{word(i)} {'zorgle' if i % 2 else 'placid'} {' '.join(['river'] * 200)} {word(i + 1)}", i % 2) for i in range(120)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(10 ** 7 + k, t) for k, t in enumerate(["river zorgle", "river placid"])], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")).collect()}
+    assert found[10 ** 7] > 0.5 > found[10 ** 7 + 1]
+
+
+def test_vectors_of_the_words_that_tell_most(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "VECTORS", 3)
+    own = spark.createDataFrame([(i % 2, f"{'zorgle' if i % 2 else 'placid'} {WORDS[i % 19]} {WORDS[i % 7]} the") for i in range(100)], "label int, text string")
+    words, prefixes = toxicity.odds(own, 100, 50)
+    assert len(words[0]) == 3 and len(prefixes[0]) <= 3 and sorted(abs(words[1]) > 4) == [False, True, True]
+    counted = {(r["kind"], r["hash"]): (r["texts"], r["ones"]) for r in toxicity.word_counts(own.repartition(7)).collect()}
+    assert max(counted.values()) == (100, 50) and sum(v == (50, 50) for v in counted.values()) == 2
