@@ -60,22 +60,21 @@ def text_words(column: pa.Array):
         yield first, last, hash_words(lowered, starts, ends), np.where(ends - starts > PREFIX, prefixes, np.uint64(0)), before
 
 
-def taught_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """Every labelled text that ``learn`` allows as (piece, own, label, lang, text), staged in an order by hashes.
+def taught_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFrame, DataFrame]:
+    """Every labelled text that ``learn`` allows: three quarters as (piece, label, text), staged in an order by hashes, and those
+    that only set the thresholds as (lang, label, text).
 
-    A document that is labelled more than once counts with its highest label; null labels don't count. Rows that aren't
-    ``own``, a quarter, only set the thresholds.
+    A document that is labelled more than once counts with its highest label; null labels don't count.
     """
     marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("label")).filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & learn)
-    marked = lookup(marked.groupBy("doc_id").agg(F.max("label").alias("label")))
-    pieces = -(-marked.count() // PIECE_ROWS) or 1
+    marked = lookup(marked.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit("own")), F.lit(4)) != 3))
+    pieces = -(-marked.filter("own").count() // PIECE_ROWS) or 1
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
     place = F.xxhash64("doc_id", "text")
-    rows = texts.join(marked, "doc_id").withColumns({
-        "own": F.pmod(F.xxhash64("doc_id", F.lit("own")), F.lit(4)) != 3, "piece": F.pmod(place, F.lit(pieces)).cast("int")})
-    dealt = rows.repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", place, "doc_id", "text")
-    return staged(dealt.select("piece", "own", "label", "lang", "text"), "taught")
+    own = texts.join(marked.filter("own"), "doc_id").withColumn("piece", F.pmod(place, F.lit(pieces)).cast("int"))
+    dealt = own.repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", place, "doc_id", "text")
+    return staged(dealt.select("piece", "label", "text"), "taught"), texts.join(marked.filter("NOT own"), "doc_id").select("lang", "label", "text")
 
 
 def word_counts(own: DataFrame) -> DataFrame:
@@ -215,9 +214,8 @@ def epoch(own: DataFrame, known: tuple[np.ndarray, np.ndarray], params: list[np.
     return from_rows([a[:, :SIZE].copy() for a in after], params), from_rows([a[:, SIZE:].copy() for a in after], speed)
 
 
-def fit(taught: DataFrame, by_lang: bool, epochs: int = 4, rate: float = 0.05, seed: int = 1) -> Net:
-    """Fit on all the rows of ``taught_rows``; those that aren't ``own`` only set the thresholds."""
-    own = taught.filter("own")
+def fit(own: DataFrame, kept: DataFrame = None, epochs: int = 4, rate: float = 0.05, seed: int = 1) -> Net:
+    """Fit on the texts of ``own``, piece by piece; the texts of ``kept`` set the thresholds of their languages."""
     rows, ones = own.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     rng = np.random.default_rng(seed)
     known, vectors = [], []
@@ -236,8 +234,8 @@ def fit(taught: DataFrame, by_lang: bool, epochs: int = 4, rate: float = 0.05, s
     for number in range(epochs if rows else 0):
         params, speed = epoch(own, tuple(known), params, speed, rate, (seed, number))
     net = Net(tuple(known), params[:2], params[2:-1], params[-1][:-1], float(params[-1][-1]), {})
-    if by_lang:
-        net.thresholds = calibrate(taught.filter("NOT own"), net)
+    if kept is not None:
+        net.thresholds = calibrate(kept, net)
     return net
 
 
@@ -290,7 +288,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int
     labelled rows, and null ones, use 0.3. Null and empty texts get the score of a text without known words; without
     labels that is all that is known; repeated rows stay; an empty table gives no rows.
     """
-    net = fit(taught_rows(docs, labels, fold(parts) != held), "lang" in docs.columns)
+    own, kept = taught_rows(docs, labels, fold(parts) != held)
+    net = fit(own, kept if "lang" in docs.columns else None)
     sent = docs.sparkSession.sparkContext.broadcast(net)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     rows = docs.select(F.col("doc_id").cast("long"), *[c for c in keep if c != "doc_id"], (fold(parts) == held).alias("held_out"),
@@ -315,7 +314,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2) -> DataFrame:
     """The documents, with all their columns, whose score doesn't reach the threshold of their language."""
-    net = fit(taught_rows(docs, labels, fold(parts) != held), True)
+    net = fit(*taught_rows(docs, labels, fold(parts) != held))
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def clean(batch):
