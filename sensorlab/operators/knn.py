@@ -9,8 +9,10 @@ from sensorlab.functions.calendar import floor_div
 from sensorlab.functions.groups import attach, lookup, running_totals
 
 PIVOTS = 32
-REF_BLOCK = 4096
-TARGET_BLOCK = 32768
+#: Reference rows of a pack of cells and of a block, and targets of a block, about; distances that are held at a time.
+REF_BLOCK = 32768
+TARGET_BLOCK = 16384
+HELD = 1 << 22
 DIGITS = 9
 
 
@@ -43,7 +45,10 @@ def knn_join(targets: DataFrame, refs: DataFrame, features, k: int, target_id, o
     refs = refs.withColumn("_d", to_pivots("_x")).withColumn("_near", F.array_min("_d"))
     refs = refs.withColumn("_cell", F.array_position("_d", F.col("_near")).cast("int")).drop("_d")
     cells = refs.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_near").alias("radius"))
-    layout = cells.groupBy(*by).agg(F.collect_list(F.struct("_cell", "n", "radius")).alias("_cells"))
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("_cell"))
+    cells = cells.withColumn("pack", F.floor((upto - F.col("n")) / REF_BLOCK))
+    cells = cells.withColumn("parts", F.ceil(F.sum("n").over(Window.partitionBy(*by, "pack")) / REF_BLOCK))
+    layout = cells.groupBy(*by).agg(F.collect_list(F.struct("_cell", "n", "radius", "pack", "parts")).alias("_cells"))
     sizes = targets.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / TARGET_BLOCK).alias("_tn"))
     layout = lookup(layout.join(sizes, by))
 
@@ -58,16 +63,17 @@ def knn_join(targets: DataFrame, refs: DataFrame, features, k: int, target_id, o
             (a["n"] + c["n"]).alias("n"), F.when(a["n"] + c["n"] >= k, c["u"]).otherwise(a["u"]).alias("u"))))["u"]
     found = found.withColumn("_bound", bound * (1 + 1e-9) + 1e-9)
     visits = F.filter("_cells", lambda c: F.element_at("_d", c["_cell"]) - c["radius"] <= F.col("_bound"))
-    found = found.select(*by, *target_id, "_x", "_tn", F.explode(visits).alias("_c"))
+    packs = F.array_distinct(F.transform(visits, lambda c: F.struct(c["pack"].alias("pack"), c["parts"].alias("parts"))))
+    found = found.select(*by, *target_id, "_x", "_tn", F.explode(packs).alias("_c"))
     left = found.select(
-        *by, *target_id, "_x", F.col("_c._cell").alias("_cell"),
+        *by, *target_id, "_x", F.col("_c.pack").alias("_pack"),
         F.pmod(F.xxhash64(*target_id), F.col("_tn")).alias("_t"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_c.n") / REF_BLOCK) - 1)).alias("_r"))
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_c.parts") - 1)).alias("_r"))
     right = refs.join(layout.select(*by, "_tn"), by)
-    right = right.join(lookup(cells.select(*by, "_cell", "n")), [*by, "_cell"])
+    right = right.join(lookup(cells.select(*by, "_cell", F.col("pack").alias("_pack"), "parts")), [*by, "_cell"])
     right = right.select(
-        *by, order, *payload, "_x", "_cell",
-        F.pmod(F.xxhash64(order, "_x"), F.ceil(F.col("n") / REF_BLOCK)).alias("_r"),
+        *by, order, *payload, "_x", "_pack",
+        F.pmod(F.xxhash64(order, "_x"), F.col("parts")).alias("_r"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_tn") - 1)).alias("_t"))
 
     out_ref = [order, *payload]
@@ -79,24 +85,16 @@ def knn_join(targets: DataFrame, refs: DataFrame, features, k: int, target_id, o
             return pd.DataFrame(columns=schema.names, dtype=object)
         r = r.sort_values(order, kind="stable").reset_index(drop=True)
         tx, rx, keep = np.stack(t["_x"].to_numpy()), np.stack(r["_x"].to_numpy()), min(k, len(r))
-        rows, picks, squares = [], [], []
-        for start in range(0, len(tx), 256):
-            part = tx[start:start + 256]
-            d2 = np.zeros((len(part), len(rx)))
-            for j in range(part.shape[1]):
-                d2 += (part[:, j, None] - rx[None, :, j]) ** 2
-            d2 = np.round(d2, DIGITS)
-            best = np.argsort(d2, axis=1, kind="stable")[:, :keep]
-            rows.append(np.repeat(np.arange(start, start + len(part)), keep))
-            picks.append(best.ravel())
-            squares.append(np.take_along_axis(d2, best, axis=1).ravel())
-        rows, picks = np.concatenate(rows), np.concatenate(picks)
+        step = max(1, HELD // len(rx))
+        found = [nearest_rows(tx[at:at + step], rx, keep) for at in range(0, len(tx), step)]
+        rows = np.repeat(np.arange(len(tx)), keep)
+        picks, squares = np.concatenate([p.ravel() for p, _ in found]), np.concatenate([d.ravel() for _, d in found])
         out = {c: t[c].to_numpy()[rows] for c in (*by, *target_id)}
-        out["_d2"] = np.concatenate(squares)
+        out["_d2"] = squares
         out.update({c: r[c].to_numpy()[picks] for c in out_ref})
         return pd.DataFrame(out)
 
-    block = [*by, "_cell", "_r", "_t"]
+    block = [*by, "_pack", "_r", "_t"]
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     local = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(nearest, schema)
     order_by = Window.partitionBy(*by, *target_id).orderBy("_d2", order)
@@ -104,6 +102,29 @@ def knn_join(targets: DataFrame, refs: DataFrame, features, k: int, target_id, o
         *by, *target_id, F.sqrt("_d2").alias("distance"), "nth", *out_ref)
 
 
+def nearest_rows(points: np.ndarray, rows: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each point the ``keep`` nearest rows, in order, and their squared distances to 9 digits; the first row on ties.
+
+    Matrix products give the distances but for rounding; what may be near enough by them is measured again, feature by feature.
+    """
+    with np.errstate(invalid="ignore", over="ignore"):
+        size = (points ** 2).sum(axis=1)[:, None] + (rows ** 2).sum(axis=1).max()
+        rough = (rows ** 2).sum(axis=1) - 2 * (points @ rows.T)
+        far = np.partition(rough, keep - 1, axis=1)[:, keep - 1, None]
+        slack = 3 * 10.0 ** -DIGITS + 1e-14 * (points.shape[1] + 8) * size
+        i, j = np.nonzero(~(rough > far + slack))  # all, where numbers are not finite
+    d2 = np.zeros(len(i))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for f in range(points.shape[1]):
+            d2 += (points[i, f] - rows[j, f]) ** 2
+    d2 = np.round(d2, DIGITS)
+    order = np.lexsort((d2, i))
+    i, j, d2 = i[order], j[order], d2[order]
+    first = np.searchsorted(i, np.arange(len(points)))
+    best = first[:, None] + np.arange(keep)
+    return j[best], d2[best]
+
+
 def fill_knn(df: DataFrame, cols=("temperature", "humidity"), k: int = 60, by=()) -> DataFrame:
     """Fill a missing measure with its mean over the k rows nearest in the other measure.
 

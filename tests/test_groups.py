@@ -192,3 +192,19 @@ def test_tiered_with_long_gaps_fills_everything(series):
     for how in ("pattern", "seasonal"):
         out = fills.fill_tiered(dense, ["temperature"], long_gap=how)
         assert out.count() == dense.count() and out.filter("temperature IS NULL").count() == 0
+
+
+def test_nearest_rows_like_all_distances():
+    rng = np.random.default_rng(3)
+    kinds = [rng.normal(size=(400, 9)), rng.integers(0, 3, (400, 2)).astype(float), 1e6 + rng.normal(size=(400, 3)), np.ones((400, 2)),
+             np.where(rng.random((400, 3)) < 0.05, np.nan, rng.normal(size=(400, 3)))]
+    for x in kinds:
+        points, rows = x[:150], x[100:]
+        for keep in (1, 20, len(rows)):
+            d2 = np.zeros((len(points), len(rows)))
+            for f in range(x.shape[1]):
+                d2 += (points[:, f, None] - rows[None, :, f]) ** 2
+            best = np.argsort(np.round(d2, knn.DIGITS), axis=1, kind="stable")[:, :keep]
+            picks, squares = knn.nearest_rows(points, rows, keep)
+            assert (picks == best).all()
+            assert np.array_equal(squares, np.round(np.take_along_axis(d2, best, axis=1), knn.DIGITS), equal_nan=True)
