@@ -158,10 +158,13 @@ class _Block:
         self.margins = read("margins", np.float32).reshape(self.n, settings).copy()
         self.models = self.groups[:, None] * settings + np.arange(settings, dtype=np.int32)
         self.first = np.arange(self.n, dtype=np.int64)[:, None] * features
-        self.flat = self.bins.ravel()
+        self.flat, self.columns = self.bins.ravel(), np.ascontiguousarray(self.bins.T)
+        self.alone = self.n > 0 and bool((self.groups == self.groups[0]).all())
 
     def walk(self, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
         """The node of every row in every setting's tree; trees are rows of the arrays."""
+        if self.alone:
+            return np.stack([self.nodes_of(feature[m], cut[m]) for m in self.models[0]], axis=1)
         nodes = feature.shape[1]
         feature, cut, base = feature.ravel(), cut.ravel(), self.models.astype(np.int64) * nodes
         at = base.copy()
@@ -173,6 +176,20 @@ class _Block:
             right = self.flat[self.first + np.maximum(f, 0)] > cut[at]
             at = np.where(inner, base + 2 * (at - base) + 1 + right, at)
 
+    def nodes_of(self, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """The node of every row in one tree: each inner node deals its rows to its children."""
+        at, todo = np.zeros(self.n, np.int64), [(0, None)]
+        while todo:
+            node, rows = todo.pop()
+            if feature[node] >= 0:
+                bins = self.columns[feature[node]]
+                right = (bins if rows is None else bins[rows]) > cut[node]
+                for child, go in ((2 * node + 1, ~right), (2 * node + 2, right)):
+                    todo.append((child, np.flatnonzero(go) if rows is None else rows[go]))
+            elif rows is not None:
+                at[rows] = node
+        return at
+
     def add(self, trees: tuple) -> None:
         feature, cut, value = trees
         node = self.walk(feature, cut)
@@ -219,17 +236,21 @@ def best_split(sums: np.ndarray, starts: np.ndarray, columns: np.ndarray) -> tup
     g, h = sums[: starts[1]].sum(axis=0)  # all rows are in some bin of the first feature
     best = (0.0, -1, 0, 0.0, 0.0)
     whole = g * g / (h + PENALTY)
-    for f in np.flatnonzero(columns):
-        left = np.cumsum(sums[starts[f] : starts[f + 1] - 1], axis=0)
-        if not len(left):
+    widths, found = np.diff(starts), {}
+    for width in np.unique(widths[columns]):  # features of equal widths together
+        some = np.flatnonzero(columns & (widths == width))
+        left = np.cumsum(sums[starts[some][:, None] + np.arange(width - 1)], axis=1)
+        if not left.size:
             continue
-        gl, hl = left[:, 0], left[:, 1]
+        gl, hl = left[..., 0], left[..., 1]
         gr, hr = g - gl, h - hl
         gain = gl * gl / (hl + PENALTY) + gr * gr / (hr + PENALTY) - whole
         gain[(hl < LEAST_HESSIAN) | (hr < LEAST_HESSIAN)] = 0.0
-        k = int(gain.argmax())
-        if gain[k] > best[0]:
-            best = (float(gain[k]), int(f), k, float(gl[k]), float(hl[k]))
+        for i, (f, k) in enumerate(zip(some, gain.argmax(axis=1))):
+            found[int(f)] = (float(gain[i, k]), int(f), int(k), float(gl[i, k]), float(hl[i, k]))
+    for f in sorted(found):
+        if found[f][0] > best[0]:
+            best = found[f]
     return best, float(g), float(h)
 
 
@@ -315,8 +336,9 @@ class _Run:
         y = block.labels[row]
         w = np.where(y == 1, self.weights[block.groups[row]], 1.0)
         g, h = (p - y) * w, np.maximum(p * (1 - p), 1e-16) * w
+        base = {width: slot * width for width in set(self.widths)}
         for f, (first, width) in enumerate(zip(self.starts, self.widths)):
-            place = slot * width + block.bins[row, f]
+            place = base[width] + block.columns[f][row]
             for k, v in enumerate((g, h)):
                 total[:, first : first + width, k] += np.bincount(place, v, many * width).reshape(many, width)
         return total
